@@ -7,8 +7,11 @@ of each row moves forward field by field, so no Python code runs per row.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,51 +91,57 @@ class _Cursor:
 
 
 def decode_batch(values: pa.Array, fields, symbols) -> pa.StructArray:
-    """Struct of (status, fields...) for a batch; timestamps stay microsecond integers."""
+    """Struct of (status, fields...) for a batch; timestamps stay microsecond integers.
+
+    ``fields`` holds (name, kind, nullable) per field.
+    """
     cur = _Cursor(values)
     everyone = np.ones(len(cur.pos), bool)
     found = []
-    for f in fields:
+    for _, kind, nullable in fields:
         present = everyone
-        if f.nullable:
+        if nullable:
             branch = cur.varint(everyone)
             cur.bad |= ~cur.bad & (branch != 0) & (branch != 1)
             present = branch == 1
-        if f.kind == "string":
+        if kind == "string":
             start, size = cur.span(present)
             cur.reject_bad_text(start, size, present)
             found.append((present, start, size))
         else:
             number = cur.varint(present)
             live = present & ~cur.bad
-            if f.kind == "enum":
+            if kind == "enum":
                 cur.bad |= live & ((number < 0) | (number >= len(symbols)))
-            elif f.kind == "timestamp":
+            elif kind == "timestamp":
                 cur.bad |= live & ((number < MIN_MICROS) | (number > MAX_MICROS))
             found.append((present, number, None))
     columns = []
-    for f, (present, first, size) in zip(fields, found):
+    for (_, kind, _), (present, first, size) in zip(fields, found):
         valid = present & ~cur.bad
-        if f.kind == "string":
+        if kind == "string":
             columns.append(cur.text(first, size, valid))
-        elif f.kind == "enum":
+        elif kind == "enum":
             index = pa.array(np.where(valid, first, 0), mask=~valid)
             columns.append(pa.array(symbols, pa.string()).take(index))
         else:
             columns.append(pa.array(first, pa.int64(), mask=~valid))
     status = np.where(cur.bad, FAILED, np.where(cur.pos < cur.end, TRAILING, DECODED))
     columns.insert(0, pa.array(status.astype(np.int32), mask=cur.null))
-    return pa.StructArray.from_arrays(columns, names=["status", *(f.name for f in fields)])
+    return pa.StructArray.from_arrays(columns, names=["status", *(n for n, _, _ in fields)])
 
 
 def decoder(contract: Contract):
     """Arrow UDF: binary datum -> struct<status, fields...>. Only the datum crosses to Python."""
-    fields, symbols = contract.fields, list(contract.event_names)
+    fields = [(f.name, f.kind, f.nullable) for f in contract.fields]
+    symbols = list(contract.event_names)
     kinds = {"timestamp": T.LongType(), "int": T.LongType()}
     out = T.StructType(
         [T.StructField("status", T.IntegerType())]
-        + [T.StructField(f.name, kinds.get(f.kind, T.StringType())) for f in fields]
+        + [T.StructField(name, kinds.get(kind, T.StringType())) for name, kind, _ in fields]
     )
+    # Workers get this module's code with the task, so nothing has to be installed there.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
     @F.arrow_udf(out)
     def decode(values: pa.Array) -> pa.Array:

@@ -194,7 +194,7 @@ _CODES = [
     "CASE WHEN event_name = 'appointment_booked' AND scheduled_start_time < event_time "
     "THEN 'SCHEDULED_START_BEFORE_BOOKING' END",
 ]
-BUSINESS_CODES = f"list_sort(list_distinct(list_filter([{', '.join(_CODES)}], x -> x IS NOT NULL)))"
+BUSINESS_CODES = f"list_sort(list_distinct(list_filter([{', '.join(_CODES)}], lambda x: x IS NOT NULL)))"
 _WIRE = (
     "CASE wire_kind WHEN 'tombstone' THEN ['KAFKA_TOMBSTONE'] WHEN 'short' THEN ['FRAME_TRUNCATED'] "
     "WHEN 'bad_magic' THEN ['MAGIC_BYTE_INVALID'] WHEN 'unknown_schema' THEN ['SCHEMA_ID_UNKNOWN'] "

@@ -11,7 +11,8 @@ from trustflow.functions.times import seconds
 from trustflow.operators import bronze, classify, dedup
 from trustflow.plans import fixture_sql as sql
 from trustflow.plans import wire
-from trustflow.session import tune
+from trustflow.session import scratch_dir, tune
+from trustflow.sources.kafka import KAFKA_DDL
 
 CONTRACT: Contract = default_contract()
 OTHER_SCHEMA = '{"type": "string"}'
@@ -53,8 +54,8 @@ def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deliveries with the Kafka column shape and framed Avro bytes."""
+def derive_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries with the Kafka column shape and framed Avro bytes, as a pure projection."""
     return (
         ev(spark, sf_dir)
         .withColumn("_body", wire.datum(CONTRACT))
@@ -76,6 +77,23 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_STAGED: dict[tuple[str, str], str] = {}
+
+
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived deliveries, stored once per application like the topic they stand for.
+
+    Queries then see a real table: filters and columns reach the scan instead of being
+    folded into the formulas that made the bytes.
+    """
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _STAGED:
+        path = scratch_dir(spark, "deliveries")
+        derive_raw(spark, sf_dir).write.parquet(path)
+        _STAGED[at] = path
+    return tune(spark).read.schema(KAFKA_DDL).parquet(_STAGED[at])
+
+
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows with the fixed ingestion time of the fixture."""
     return bronze.bronze_rows(raw(spark, sf_dir), F.col("timestamp") + seconds(5))

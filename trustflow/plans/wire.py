@@ -10,35 +10,24 @@ from trustflow.contract import Contract
 OTHER_SCHEMA_ID, UNKNOWN_SCHEMA_ID, CONTRACT_SCHEMA_ID = 2, 404, 1
 
 
-def _hex_bytes(number: Column, width: int) -> Column:
-    return F.unhex(F.lpad(F.hex(number), 2 * width, "0"))
-
-
 def small_varint(number: Column) -> Column:
-    """Zig-zag varint of 0..8191."""
-    z = number * 2
-    two = ((z.bitwiseAND(127) + 128) * 256) + F.shiftright(z, 7)
-    return F.when(z < 128, _hex_bytes(z, 1)).otherwise(_hex_bytes(two, 2))
+    """Zig-zag varint of 0..63 as one character."""
+    return F.chr(number * 2)
 
 
 def micros_varint(ts: Column) -> Column:
-    """Zig-zag varint of a timestamp between 1979 and 3111: always eight bytes."""
+    """Zig-zag varint of a timestamp between 1979 and 3111: always eight characters."""
     z = F.unix_micros(ts) * 2
-    packed = F.lit(0).cast("bigint")
-    for i in range(8):
-        part = F.shiftright(z, 7 * i).bitwiseAND(F.lit(127).cast("bigint"))
-        if i < 7:
-            part = part.bitwiseOR(F.lit(128).cast("bigint"))
-        packed = packed.bitwiseOR(F.shiftleft(part, 8 * (7 - i)))
-    return _hex_bytes(packed, 8)
+    parts = [F.chr(F.shiftright(z, 7 * i) % 128 + 128) for i in range(7)]
+    return F.concat(*parts, F.chr(F.shiftright(z, 49)))
 
 
 def text(value: Column) -> Column:
-    data = F.encode(value, "UTF-8")
-    return F.concat(small_varint(F.length(data)), data)
+    return F.concat(small_varint(F.length(value)), value)
 
 
 def datum(contract: Contract) -> Column:
+    """One character per byte, turned into bytes at the end. Texts are ASCII, at most 63 long."""
     parts = []
     for f in contract.fields:
         value = F.col(f.name)
@@ -46,7 +35,7 @@ def datum(contract: Contract) -> Column:
             index = F.array_position(F.array(*[F.lit(n) for n in contract.event_names]), value)
             # A name outside the enum gets the first index past its end.
             past = F.lit(len(contract.event_names)).cast("bigint")
-            body = small_varint(F.when(index > 0, index - 1).otherwise(past))
+            body = small_varint(F.coalesce(F.nullif(index, F.lit(0)) - 1, past))
         elif f.kind == "timestamp":
             body = micros_varint(value)
         elif f.kind == "int":
@@ -54,11 +43,10 @@ def datum(contract: Contract) -> Column:
         else:
             body = text(value)
         if f.nullable:
-            body = F.when(value.isNull(), F.unhex(F.lit("00"))).otherwise(
-                F.concat(F.unhex(F.lit("02")), body)
-            )
+            # The missing branch is byte 0; a present value follows branch byte 2.
+            body = F.coalesce(F.concat(F.chr(F.lit(2)), body), F.chr(F.lit(0)))
         parts.append(body)
-    return F.concat(*parts)
+    return F.encode(F.concat(*parts), "ISO-8859-1")
 
 
 def header(schema_id: int) -> Column:
