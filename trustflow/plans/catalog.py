@@ -2,7 +2,9 @@
 
 from trustflow.plans import (  # noqa: F401
     q_delivery,
+    q_evidence,
     q_rules,
+    q_snapshot,
 )
 from trustflow.plans.registry import ORACLES, QUERIES
 
