@@ -2,7 +2,10 @@
 
 from trustflow.plans import (  # noqa: F401
     q_delivery,
+    q_events,
     q_evidence,
+    q_facts,
+    q_health,
     q_rules,
     q_snapshot,
 )
