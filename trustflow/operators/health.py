@@ -62,10 +62,12 @@ def gold_latency(valid: DataFrame, publishes: DataFrame, buckets: str = "1 day")
     )
 
 
-def freshness(df: DataFrame, at: str, as_of: Column) -> DataFrame:
-    """Seconds from the newest row to the given time."""
-    newest = df.agg(F.max(at).alias("newest"))
-    return newest.select("newest", seconds_between(as_of, F.col("newest")).alias("age_seconds"))
+def freshness(df: DataFrame, at: str, as_of: Column, heartbeat: str | None = None) -> DataFrame:
+    """Seconds from the newest row to the given time, beside the newest sign of any input."""
+    newest = df.agg(F.max(at).alias("newest"), F.max(heartbeat or at).alias("heartbeat"))
+    return newest.select(
+        "newest", seconds_between(as_of, F.col("newest")).alias("age_seconds"), "heartbeat"
+    )
 
 
 def duplicate_rate(deliveries: DataFrame, event_id: str = "event_id") -> DataFrame:

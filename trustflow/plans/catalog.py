@@ -8,6 +8,7 @@ from trustflow.plans import (  # noqa: F401
     q_health,
     q_rules,
     q_snapshot,
+    q_stream,
 )
 from trustflow.plans.registry import ORACLES, QUERIES
 

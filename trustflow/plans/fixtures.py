@@ -77,21 +77,26 @@ def derive_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_STAGED: dict[tuple[str, str], str] = {}
+_STAGED: dict[tuple[str, str, str], str] = {}
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived deliveries, stored once per application like the topic they stand for.
+def staged(spark: SparkSession, sf_dir: str, name: str, derive) -> str:
+    """Path of a derived table, written once per application to the shared folder.
 
-    Queries then see a real table: filters and columns reach the scan instead of being
-    folded into the formulas that made the bytes.
+    It stands for a table that the pipeline keeps. Queries on it see a real scan: filters
+    and columns reach the files instead of being folded into the formulas behind them.
     """
-    at = (spark.sparkContext.applicationId, sf_dir)
+    at = (spark.sparkContext.applicationId, sf_dir, name)
     if at not in _STAGED:
-        path = scratch_dir(spark, "deliveries")
-        derive_raw(spark, sf_dir).write.parquet(path)
+        path = scratch_dir(spark, name)
+        derive(spark, sf_dir).write.parquet(path)
         _STAGED[at] = path
-    return tune(spark).read.schema(KAFKA_DDL).parquet(_STAGED[at])
+    return _STAGED[at]
+
+
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored raw topic."""
+    return tune(spark).read.schema(KAFKA_DDL).parquet(staged(spark, sf_dir, "raw", derive_raw))
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,10 +137,20 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.valid_view(classified(spark, sf_dir), CONTRACT)
 
 
-def unique_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unique valid events, from the delivery bytes on."""
     return dedup.first_delivery(valid(spark, sf_dir))
 
 
+def unique_path(spark: SparkSession, sf_dir: str) -> str:
+    return staged(tune(spark), sf_dir, "events", derive_unique)
+
+
+def unique_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored unique-event table."""
+    return spark.read.parquet(unique_path(spark, sf_dir))
+
+
 def _v1_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = (
         table(spark, sf_dir, "customer")

@@ -170,13 +170,14 @@ def replay_idempotent(spark, sf):
     replayed = reconcile.read_replay(spark, path, "r1").select(*expected.columns)
     sides = evidence.set_differences(expected.drop("processed_at"), replayed.drop("processed_at"))
 
-    def total(df, name):
-        return df.agg(F.count(F.lit(1)).alias(name))
-
-    return (
-        total(expected, "expected_rows")
-        .join(total(replayed, "replayed_rows"))
-        .join(total(sides, "differing"))
+    tagged = None
+    for name, df in (("expected", expected), ("replayed", replayed), ("differing", sides)):
+        part = df.select(F.lit(name).alias("part"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    return tagged.agg(
+        F.count_if(F.col("part") == "expected").alias("expected_rows"),
+        F.count_if(F.col("part") == "replayed").alias("replayed_rows"),
+        F.count_if(F.col("part") == "differing").alias("differing"),
     )
 
 
