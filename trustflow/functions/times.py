@@ -5,19 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ZERO_OFFSET = r"(?:Z|[+-]00:?00(?::?00(?:\.0+)?)?)"
-UTC_TEXT = r"\A\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?" + ZERO_OFFSET + r"\z"
+ZERO_OFFSET = r"(?:Z|[+-]00(?::?00(?::?00(?:\.0+)?)?)?)"
+DATE_TIME = (
+    r"(?:\d{4}-\d{2}-\d{2}|\d{8})."
+    r"(?:\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{2}(?:\d{2}(?:\d{2}(?:[.,]\d+)?)?)?)"
+)
+UTC_TEXT = r"\A" + DATE_TIME + ZERO_OFFSET + r"\z"
+PARTS = (
+    r"\A(\d{4})-?(\d{2})-?(\d{2}).(\d{2})(?::?(\d{2}))?(?::?(\d{2}))?(?:[.,](\d{1,6})\d*)?"
+    + ZERO_OFFSET
+    + r"\z"
+)
 MICROS_Z = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 def parse_utc(text: Column) -> Column:
-    """Timestamp of ISO-8601 text with an explicit zero offset, NULL for anything else.
+    """Timestamp of ISO-8601 calendar text with an explicit zero offset, NULL for anything else.
 
-    A plain cast would also take naive text and shift other offsets.
+    A plain cast would also take naive text and shift other offsets. Basic and extended
+    notation are read, and seconds or minutes may be left out; week dates are not read.
     """
-    local = F.regexp_replace(text, ZERO_OFFSET + r"\z", "")
-    local = F.regexp_replace(local, ",", ".")
-    return F.when(text.rlike(UTC_TEXT), F.concat(local, F.lit("Z")).try_cast("timestamp"))
+    plain = F.regexp_replace(text, PARTS, "$1-$2-$3 $4:$5:$6.$7Z")
+    # Groups that are absent leave a bare separator behind.
+    plain = F.regexp_replace(F.regexp_replace(plain, ":(?=[:.])", ":00"), r"\.Z", "Z")
+    return F.when(text.rlike(UTC_TEXT), plain.try_cast("timestamp"))
 
 
 def format_utc(ts: Column) -> Column:

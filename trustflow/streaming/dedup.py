@@ -44,7 +44,12 @@ def merge_handler(path: str, app_id: str, key: str = "event_id", fmt: str = "par
         held = spark.read.schema(f"{key} STRING, batch_id BIGINT").parquet(path)
         # A retried batch must not see its own earlier write as already present.
         prior = held.where(F.col("batch_id") != batch_id)
-        write_batch(ops.insert_only(prior, batch, key), path, batch_id, app_id, fmt)
+        # The merge looks at the batch twice; without this the stateful plan would run twice.
+        batch.persist()
+        try:
+            write_batch(ops.insert_only(prior, batch, key), path, batch_id, app_id, fmt)
+        finally:
+            batch.unpersist()
 
     return process
 
