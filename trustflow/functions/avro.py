@@ -11,6 +11,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -69,25 +70,43 @@ class _Cursor:
         self.pos += size
         return start, size
 
-    def text(self, start: np.ndarray, size: np.ndarray, valid: np.ndarray) -> pa.Array:
-        size = np.where(valid, size, 0)
+    def take_text(self, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets and bytes of one text field; rows that are not UTF-8 become bad."""
         offsets = np.zeros(len(size) + 1, np.int64)
         np.cumsum(size, out=offsets[1:])
-        index = np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])
-        chars = np.ascontiguousarray(self.data[index]) if len(index) else np.zeros(0, np.uint8)
-        bitmap = pa.py_buffer(np.packbits(valid, bitorder="little").tobytes())
-        return pa.Array.from_buffers(
-            pa.large_string(), len(size), [bitmap, pa.py_buffer(offsets), pa.py_buffer(chars)]
-        ).cast(pa.string())
-
-    def reject_bad_text(self, start: np.ndarray, size: np.ndarray, wanted: np.ndarray) -> None:
-        live = wanted & ~self.bad
-        high = np.concatenate(([0], np.cumsum(self.data >= 128)))
-        for row in np.flatnonzero(live & (high[start + size] > high[start])):
+        used = np.flatnonzero(size)
+        widths = size[used]
+        if len(used) and (widths == widths[0]).all():
+            # Identifiers share one width: whole rows are copied instead of single bytes.
+            chars = sliding_window_view(self.data, int(widths[0]))[start[used]].ravel()
+        else:
+            index = np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])
+            chars = self.data[index]
+        high = np.flatnonzero(chars >= 128)
+        for row in np.unique(np.searchsorted(offsets, high, side="right") - 1):
             try:
-                self.data[start[row] : start[row] + size[row]].tobytes().decode("utf-8")
+                chars[offsets[row] : offsets[row + 1]].tobytes().decode("utf-8")
             except UnicodeDecodeError:
                 self.bad[row] = True
+        return offsets, chars
+
+
+def _text_array(offsets: np.ndarray, chars: np.ndarray, valid: np.ndarray) -> pa.Array:
+    """Arrow text column over the copied bytes; rows that are not valid are NULL."""
+    if chars.size and not valid.all() and (chars >= 128).any():
+        # Broken text must not stay behind NULLs either.
+        chars = np.where(np.repeat(valid, np.diff(offsets)), chars, 63).astype(np.uint8)
+    bitmap = np.packbits(valid, bitorder="little")
+    narrow = offsets[-1] < 2**31
+    return pa.Array.from_buffers(
+        pa.string() if narrow else pa.large_string(),
+        len(valid),
+        [
+            pa.py_buffer(bitmap),
+            pa.py_buffer(offsets.astype(np.int32) if narrow else offsets),
+            pa.py_buffer(np.ascontiguousarray(chars)),
+        ],
+    )
 
 
 def decode_batch(values: pa.Array, fields, symbols) -> pa.StructArray:
@@ -105,9 +124,7 @@ def decode_batch(values: pa.Array, fields, symbols) -> pa.StructArray:
             cur.bad |= ~cur.bad & (branch != 0) & (branch != 1)
             present = branch == 1
         if kind == "string":
-            start, size = cur.span(present)
-            cur.reject_bad_text(start, size, present)
-            found.append((present, start, size))
+            found.append((present, *cur.take_text(*cur.span(present))))
         else:
             number = cur.varint(present)
             live = present & ~cur.bad
@@ -117,10 +134,10 @@ def decode_batch(values: pa.Array, fields, symbols) -> pa.StructArray:
                 cur.bad |= live & ((number < MIN_MICROS) | (number > MAX_MICROS))
             found.append((present, number, None))
     columns = []
-    for (_, kind, _), (present, first, size) in zip(fields, found):
+    for (_, kind, _), (present, first, chars) in zip(fields, found):
         valid = present & ~cur.bad
         if kind == "string":
-            columns.append(cur.text(first, size, valid))
+            columns.append(_text_array(first, chars, valid))
         elif kind == "enum":
             index = pa.array(np.where(valid, first, 0), mask=~valid)
             columns.append(pa.array(symbols, pa.string()).take(index))

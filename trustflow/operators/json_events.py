@@ -1,7 +1,8 @@
 """Validation of events that arrive as JSON text: structure first, then the business rules.
 
 The three structural stages stop at the first failing one: unknown fields, timestamps,
-typed fields. JSON types are read from a variant, so a number in a text field is caught.
+typed fields. Each field is parsed as a variant, which keeps its JSON type, so a number in a
+text field is caught.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trustflow.contract import Contract
+from trustflow.contract import Contract, Field
 from trustflow.functions.times import parse_utc
 from trustflow.operators import rules
 
@@ -19,11 +20,11 @@ INT_MIN, INT_MAX = -2147483648, 2147483647
 
 def _kind(name: str) -> Column:
     """JSON type of a field: NULL when absent, VOID for an explicit null."""
-    return F.schema_of_variant(F.variant_get("_v", f"$.{name}", "variant"))
+    return F.schema_of_variant(f"_v.{name}")
 
 
 def _text(name: str) -> Column:
-    return F.try_variant_get("_v", f"$.{name}", "string")
+    return F.try_variant_get(f"_v.{name}", "$", "string")
 
 
 def unknown_fields(json_col: str, contract: Contract) -> Column:
@@ -37,7 +38,7 @@ def timestamp_codes(contract: Contract) -> list[Column]:
     for f in contract.timestamps:
         kind = F.col(f"_kind_{f}")
         present = kind.isNotNull() & (kind != "VOID")
-        ok = (kind == "STRING") & parse_utc(F.col(f"_text_{f}")).isNotNull()
+        ok = (kind == "STRING") & F.col(f"event.{f}").isNotNull()
         out.append(F.when(present & ~ok, F.lit(f"TIMESTAMP_INVALID:{f}")))
     return out
 
@@ -59,41 +60,30 @@ def structure_invalid(contract: Contract) -> Column:
     return bad
 
 
-def _typed(contract: Contract):
-    kinds = {f.name: f.kind for f in contract.fields}
-
-    def get(name: str) -> Column:
-        text = F.col(f"_text_{name}")
-        if kinds[name] == "timestamp":
-            return parse_utc(text)
-        return text.try_cast("int") if kinds[name] == "int" else text
-
-    return get
+def _typed(field: Field) -> Column:
+    text = F.col(f"_text_{field.name}")
+    if field.kind == "timestamp":
+        return parse_utc(text).alias(field.name)
+    return (text.try_cast("int") if field.kind == "int" else text).alias(field.name)
 
 
 def parsed(df: DataFrame, json_col: str, contract: Contract) -> DataFrame:
-    df = df.withColumn("_v", F.try_parse_json(json_col))
-    return df.select(
-        "*",
-        *[_kind(n).alias(f"_kind_{n}") for n in contract.names],
-        *[_text(n).alias(f"_text_{n}") for n in contract.names],
-    )
+    """JSON types and texts per field, then typed columns as struct ``event``, each made once."""
+    fields = ", ".join(f"{n} VARIANT" for n in contract.names)
+    kinds = [_kind(n).alias(f"_kind_{n}") for n in contract.names]
+    texts = [_text(n).alias(f"_text_{n}") for n in contract.names]
+    read = df.withColumn("_v", F.from_json(json_col, fields)).select("*", *kinds, *texts)
+    return read.withColumn("event", F.struct(*[_typed(f) for f in contract.fields]))
 
 
 def validate_json(df: DataFrame, json_col: str, contract: Contract) -> DataFrame:
     """Adds ``error_codes`` and the typed columns as struct ``event``."""
-    get = _typed(contract)
     stamps = F.concat_ws(",", *timestamp_codes(contract))
     text = (
         F.when(unknown_fields(json_col, contract), F.lit(SCHEMA_INVALID))
         .when(stamps != "", stamps)
         .when(structure_invalid(contract), F.lit(SCHEMA_INVALID))
-        .otherwise(rules.codes_text(contract, get))
-    )
-    helpers = ["_v", *[f"_kind_{n}" for n in contract.names], *[f"_text_{n}" for n in contract.names]]
-    return (
-        parsed(df, json_col, contract)
-        .withColumn("error_codes", rules.codes_array(text))
-        .withColumn("event", F.struct(*[get(n).alias(n) for n in contract.names]))
-        .drop(*helpers)
+        .otherwise(rules.codes_text(contract, lambda n: F.col(f"event.{n}")))
     )
+    checked = parsed(df, json_col, contract).withColumn("_codes", text)
+    return checked.select(*df.columns, rules.codes_array(F.col("_codes")).alias("error_codes"), "event")

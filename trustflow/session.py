@@ -15,6 +15,9 @@ RUNTIME_SETTINGS = {
     # A hot key is split even when the split costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # HotSpot leaves methods above 8000 bytes uncompiled; many rules in one projection get there.
+    # Spark then splits the projection into small methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
