@@ -6,7 +6,7 @@ from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
 
-from trustflow.operators import dedup, facts, reconcile, rules
+from trustflow.operators import classify, dedup, facts, reconcile, rules
 from trustflow.plans import fixtures as fx
 
 
@@ -25,6 +25,24 @@ def test_classification_is_map_only_with_one_decode(spark, sf_dir):
     assert "hashpartitioning" not in text and "rangepartitioning" not in text
 
 
+def decodes(text: str) -> int:
+    return len(re.findall(r"^\(\d+\) ArrowEvalPython", text, re.M))
+
+
+def test_filters_on_the_outcome_do_not_decode_twice(spark, sf_dir):
+    valid = fx.valid(spark, sf_dir)
+    assert decodes(plan(valid)) == 1
+    assert decodes(plan(fx.classified(spark, sf_dir).where("event IS NOT NULL"))) == 1
+    flat = classify.decode_flatten(fx.deliveries(spark, sf_dir), 1, fx.CONTRACT)
+    assert decodes(plan(flat.where("event_name = 'booking_started'"))) == 1
+
+
+def test_ingestion_window_passes_the_decoder(spark, sf_dir):
+    window = fx.valid(spark, sf_dir).where("partition = 2")
+    text = plan(window)
+    assert decodes(text) == 1 and "EqualTo(partition,2)" in text
+
+
 def test_route_counts_read_only_the_value(spark, sf_dir):
     text = plan(fx.classified(spark, sf_dir).groupBy("route").count())
     assert re.search(r"ReadSchema: struct<value:binary>", text)

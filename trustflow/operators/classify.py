@@ -94,7 +94,10 @@ def classify(
         .withColumn("_header_id", frames.header_schema_id())
         .join(known, F.col("_header_id") == F.col("_known_id"), "left")
         .withColumn("_frame_code", _frame_code(contract))
-        .withColumn("_datum", decode(F.when(F.col("_frame_code").isNull(), frames.body())))
+        .withColumn("_read", decode(F.when(F.col("_frame_code").isNull(), frames.body())))
+        # A filter on the outcome must not move below this point, where Spark would decode a
+        # second time to evaluate it. Filters on the delivery columns still pass through.
+        .select("*", F.explode(F.array("_read")).alias("_datum"))
     )
     status = F.col("_datum.status")
     event = F.when(
@@ -162,7 +165,8 @@ def decode_flatten(deliveries: DataFrame, schema_id: int, contract: Contract) ->
         event = avro.from_avro_event(frames.body(), contract)
         decoded = framed.withColumn("event", event)
     else:
-        datum = framed.withColumn("_datum", avro.decoder(contract)(frames.body()))
+        read = avro.decoder(contract)(frames.body()).alias("_read")
+        datum = framed.select("*", read).select("*", F.explode(F.array("_read")).alias("_datum"))
         readable = F.col("_datum.status").isin(avro.DECODED, avro.TRAILING)
         decoded = datum.withColumn(
             "event", F.when(readable, avro.typed_event(F.col("_datum"), contract))

@@ -32,12 +32,20 @@ def key_groups(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def insert_only(target_ids: DataFrame, batch: DataFrame, key: str = "event_id", order=ARRIVAL_ORDER) -> DataFrame:
+def insert_only(
+    target_ids: DataFrame,
+    batch: DataFrame,
+    key: str = "event_id",
+    order=ARRIVAL_ORDER,
+    small_batch: bool = False,
+) -> DataFrame:
     """Rows of a batch whose key the target does not hold yet, one per key.
 
-    The target is read for its key column only, and only keys of the (bounded) batch are
-    kept from it, so the small side is the one that gets broadcast or shuffled.
+    The target is read for its key column only. With ``small_batch`` (a stored micro-batch)
+    the target is first cut down to the keys of the batch, so the small side is the one to
+    broadcast or shuffle; the batch is read twice for that. Otherwise one anti join does it.
     """
-    firsts = first_delivery(batch, key, order)
-    held = target_ids.select(key).join(batch.select(key).distinct(), key, "left_semi").distinct()
-    return firsts.join(held, key, "left_anti")
+    held = target_ids.select(key)
+    if small_batch:
+        held = held.join(batch.select(key).distinct(), key, "left_semi").distinct()
+    return first_delivery(batch, key, order).join(held, key, "left_anti")

@@ -1,8 +1,10 @@
 """Entity facts: one row per booking journey and per appointment.
 
 A first aggregation keeps only minima and maxima per entity. It combines map-side, so an
-entity with very many events stays a bounded row. Ordered stages need one more look only
-where those bounds leave the answer open.
+entity with very many events stays a bounded row; times and counts keep it a hash
+aggregation. Attribution columns come from a second one over the attribution events alone,
+on the same key and so without another exchange. Ordered stages need one more look only
+where the bounds leave the answer open; the bounds are stored once for those looks.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trustflow.functions.times import seconds
+from trustflow.session import materialize
 
 DAY_SECONDS = 24 * 3600
 
@@ -94,23 +97,22 @@ def journey_fact(events: DataFrame, spec: JourneySpec | None = None, dimensions=
     spec = spec or JourneySpec()
     dims = list(dimensions or spec.dimensions)
     rows = events.where(F.col(spec.key).isNotNull())
-    touch = F.when(F.col(spec.name) == spec.view, F.struct(spec.time, spec.event_id, *dims))
     bounds = rows.groupBy(spec.key).agg(
         F.count(F.lit(1)).alias("events"),
-        F.min(touch).alias("_first"),
         F.min(_at(spec, spec.slot)).alias("_slot_low"),
         F.max(_at(spec, spec.slot)).alias("_slot_high"),
         F.min(_at(spec, spec.start)).alias("_start_low"),
         F.max(_at(spec, spec.start)).alias("_start_high"),
         F.min(_at(spec, spec.booked)).alias("_book_low"),
         F.max(_at(spec, spec.booked)).alias("_book_high"),
-        F.count_if(F.col(spec.name) == spec.view).alias("_views"),
         F.count_if(
             ~F.col(spec.name).isin(spec.view, spec.slot, spec.start, spec.booked)
         ).alias("_later"),
     )
-    bounds = bounds.withColumn("viewed_at", F.col(f"_first.{spec.time}"))
+    touched = first_touch(rows, spec, dims).withColumnRenamed(spec.time, "viewed_at")
+    bounds = materialize(bounds.join(touched.drop(spec.event_id), spec.key, "left"), "bounds")
     stages = _earliest_from(rows, bounds, spec, "started", "_start_low", "_start_high", "viewed_at")
+    stages = materialize(stages, "stages")
     stages = _earliest_from(rows, stages, spec, "booked", "_book_low", "_book_high", "started_at")
     has_start, has_book = F.col("_start_low").isNotNull(), F.col("_book_low").isNotNull()
     viewed = F.col("viewed_at").isNotNull()
@@ -126,7 +128,7 @@ def journey_fact(events: DataFrame, spec: JourneySpec | None = None, dimensions=
         "booked_at",
         # Diagnostic stage, outside the headline funnel.
         (F.col("_slot_high") >= F.col("viewed_at")).alias("slot_after_view"),
-        *[F.col(f"_first.{d}").alias(d) for d in dims],
+        *dims,
         F.to_date("viewed_at").alias("cohort_date"),
         "events",
         incomplete.alias("incomplete_instrumentation"),
@@ -140,23 +142,29 @@ def appointment_fact(
     spec = spec or AppointmentSpec()
     dims = list(spec.dimensions)
     rows = events.where(F.col(spec.key).isNotNull())
-    booking = F.when(
-        F.col("event_name") == spec.booked,
-        F.struct("event_time", "event_id", "customer_id", "booking_journey_id", spec.scheduled, *dims),
+    carried = ("customer_id", "booking_journey_id", spec.scheduled, *dims)
+    booking = (
+        rows.where(F.col("event_name") == spec.booked)
+        .groupBy(spec.key)
+        .agg(F.min(F.struct("event_time", "event_id", *carried)).alias("b"))
+        .select(
+            spec.key,
+            F.col("b.event_time").alias("booked_at"),
+            *[F.col(f"b.{c}").alias(c) for c in carried],
+        )
     )
-    grouped = rows.groupBy(spec.key).agg(
-        F.min(booking).alias("b"),
+    visits = rows.groupBy(spec.key).agg(
         F.min(_at(spec, spec.started)).alias("started_at"),
         F.min(_at(spec, spec.completed)).alias("completed_at"),
         F.count_if(F.col("event_name") == spec.failed).alias("connection_failures"),
     )
-    deadline = F.col(f"b.{spec.scheduled}") + seconds(spec.window_seconds)
-    fact = grouped.where("b IS NOT NULL").select(
+    deadline = F.col(spec.scheduled) + seconds(spec.window_seconds)
+    fact = booking.join(visits, spec.key).select(
         spec.key,
-        "b.customer_id",
-        "b.booking_journey_id",
-        F.col("b.event_time").alias("booked_at"),
-        F.col(f"b.{spec.scheduled}").alias(spec.scheduled),
+        "customer_id",
+        "booking_journey_id",
+        "booked_at",
+        spec.scheduled,
         deadline.alias("observation_deadline"),
         "started_at",
         "completed_at",
@@ -164,8 +172,8 @@ def appointment_fact(
         F.col("started_at").isNotNull().alias("started"),
         (F.col("completed_at") <= deadline).alias("_in_window"),
         "connection_failures",
-        *[F.col(f"b.{d}").alias(d) for d in dims],
-        F.to_date("b.event_time").alias("cohort_date"),
+        *dims,
+        F.to_date("booked_at").alias("cohort_date"),
     )
     completed = F.coalesce(F.col("_in_window"), F.lit(False))
     status = F.when(~F.col("mature"), "observing").when(completed, "completed").otherwise("incomplete")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trustflow.functions.times import seconds_between
@@ -73,15 +73,15 @@ def freshness(df: DataFrame, at: str, as_of: Column, heartbeat: str | None = Non
 def duplicate_rate(deliveries: DataFrame, event_id: str = "event_id") -> DataFrame:
     """Per closed window: parseable deliveries and those whose id was seen before.
 
-    Counts per (id, window) come first and combine map-side, so a hot id is a few rows by
-    the time the first window of each id is looked up.
+    Counts per (id, window) come first and combine map-side. A hot id is then one row per
+    window, which the time range bounds, when the first window of each id is looked up.
     """
     per = deliveries.groupBy(event_id, "window_start").agg(F.count(F.lit(1)).alias("n"))
-    first = per.groupBy(event_id).agg(F.min("window_start").alias("first_window"))
-    joined = per.join(first, event_id)
+    first = F.min("window_start").over(Window.partitionBy(event_id))
     fresh = F.when(F.col("window_start") == F.col("first_window"), 1).otherwise(0)
     return (
-        joined.groupBy("window_start")
+        per.withColumn("first_window", first)
+        .groupBy("window_start")
         .agg(F.sum("n").alias("parseable"), F.sum(F.col("n") - fresh).alias("duplicates"))
         .withColumn("rate", F.try_divide("duplicates", "parseable"))
     )

@@ -228,25 +228,29 @@ def diff(old: DataFrame, new: DataFrame, spec: SnapshotSpec) -> DataFrame:
 
 def change_violations(old: DataFrame, new: DataFrame, spec: SnapshotSpec, effective_at) -> DataFrame:
     """Broken change-set rules per key: immutable columns, update time, one change per key."""
-    changes = diff(old, new, spec)
     k = spec.key
-    touched = changes.where("operation <> 'insert'").select(k, "effective_at").distinct()
+    touched = (
+        diff(old, new, spec)
+        .groupBy(k)
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.max(F.col("operation") == "insert").alias("_new"),
+            F.max("effective_at").alias("_at"),
+        )
+    )
     frozen = [spec.signup, spec.created]
     o = old.select(k, *[F.col(c).alias(f"o_{c}") for c in frozen])
-    n = new.select(k, *frozen)
-    moved = [F.when(~F.col(c).eqNullSafe(F.col(f"o_{c}")), F.lit(f"CHANGED:{c}")) for c in frozen]
-    wrong_time = F.when(
-        F.col("effective_at") != F.lit(effective_at).cast("timestamp"), F.lit("UPDATED_AT_WRONG")
-    )
-    listed = F.filter(F.array(*moved, wrong_time), lambda c: c.isNotNull())
-    rows = touched.join(o, k).join(n, k).select(k, F.explode(listed).alias("violation"))
-    several = (
-        changes.groupBy(k)
-        .agg(F.count(F.lit(1)).alias("c"))
-        .where("c > 1")
-        .select(k, F.lit("CHANGED_MORE_THAN_ONCE").alias("violation"))
+    both = touched.join(new.select(k, *frozen), k).join(o, k, "left")
+    kept = ~F.col("_new")
+    broken = [
+        F.when(kept & ~F.col(c).eqNullSafe(F.col(f"o_{c}")), F.lit(f"CHANGED:{c}")) for c in frozen
+    ]
+    broken.append(
+        F.when(kept & (F.col("_at") != F.lit(effective_at).cast("timestamp")), F.lit("UPDATED_AT_WRONG"))
     )
-    return rows.unionByName(several)
+    broken.append(F.when(F.col("_n") > 1, F.lit("CHANGED_MORE_THAN_ONCE")))
+    listed = F.filter(F.array(*broken), lambda c: c.isNotNull())
+    return both.select(k, F.explode(listed).alias("violation"))
 
 
 def constraint_violations(df: DataFrame, spec: SnapshotSpec) -> DataFrame:

@@ -89,7 +89,12 @@ def staged(spark: SparkSession, sf_dir: str, name: str, derive) -> str:
     at = (spark.sparkContext.applicationId, sf_dir, name)
     if at not in _STAGED:
         path = scratch_dir(spark, name)
-        derive(spark, sf_dir).write.parquet(path)
+        df = derive(spark, sf_dir)
+        cores = spark.sparkContext.defaultParallelism
+        # A small input arrives as one file; a large one has enough splits of its own.
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+        df.write.parquet(path)
         _STAGED[at] = path
     return _STAGED[at]
 

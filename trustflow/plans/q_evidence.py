@@ -200,13 +200,14 @@ def view_disjointness(spark, sf):
     good = classify.valid_view(both, fx.CONTRACT).select("raw_record_id")
     bad = classify.quarantine_view(both).select("raw_record_id")
 
-    def total(df, name):
-        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-
-    counts = (
-        total(good, "valid_rows")
-        .unionByName(total(bad, "quarantine_rows"))
-        .unionByName(total(good.intersect(bad), "shared"))
+    tagged = good.withColumn("in_valid", F.lit(1)).unionByName(
+        bad.withColumn("in_valid", F.lit(0))
+    )
+    per_key = tagged.groupBy("raw_record_id").agg(
+        F.sum("in_valid").alias("v"), F.sum(1 - F.col("in_valid")).alias("q")
+    )
+    return per_key.agg(
+        F.sum("v").alias("valid_rows"),
+        F.sum("q").alias("quarantine_rows"),
+        F.count_if((F.col("v") > 0) & (F.col("q") > 0)).alias("shared"),
     )
-    names = ("valid_rows", "quarantine_rows", "shared")
-    return counts.agg(*[F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in names])

@@ -142,7 +142,9 @@ def stream_dedup(spark, sf):
     topic_files(spark, sf, f"{root}/topic")
     writer = dedup_stream.deduplicated(valid_stream(spark, f"{root}/topic")).writeStream
     writer = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
-    writer.format("parquet").start(f"{root}/events").awaitTermination()
+    with ingest.state_partitions(spark, spark.sparkContext.defaultParallelism):
+        started = writer.format("parquet").start(f"{root}/events")
+    started.awaitTermination()
     return spark.read.parquet(f"{root}/events").select("event_id", "event_name")
 
 
@@ -150,7 +152,11 @@ def _merged(spark, sf, root):
     per_trigger = topic_files(spark, sf, f"{root}/topic")
     stream = valid_stream(spark, f"{root}/topic", per_trigger)
     started = dedup_stream.start_dedup_merge(
-        stream, f"{root}/events", f"{root}/checkpoint", "events-v1"
+        stream,
+        f"{root}/events",
+        f"{root}/checkpoint",
+        "events-v1",
+        partitions=spark.sparkContext.defaultParallelism,
     )
     started.awaitTermination()
     return spark.read.parquet(f"{root}/events").drop("batch_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -65,3 +65,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(scratch_dir(spark, "rdd-checkpoint"))
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Writes an intermediate result to the shared folder and reads it back.
+
+    For results that several branches of a plan need: each branch would otherwise prune
+    its own columns and compute the whole subplan again. The copy outlives lost executors
+    and tells Catalyst its size.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -11,7 +11,7 @@ from trustflow.operators.enrich import enrich
 from trustflow.operators.snapshot import SnapshotSpec
 from trustflow.sources import snapshots, store
 from trustflow.streaming.classify import write_batch
-from trustflow.streaming.ingest import with_trigger
+from trustflow.streaming.ingest import state_partitions, with_trigger
 
 LATENESS = "30 minutes"
 
@@ -47,7 +47,8 @@ def merge_handler(path: str, app_id: str, key: str = "event_id", fmt: str = "par
         # The merge looks at the batch twice; without this the stateful plan would run twice.
         batch.persist()
         try:
-            write_batch(ops.insert_only(prior, batch, key), path, batch_id, app_id, fmt)
+            new = ops.insert_only(prior, batch, key, small_batch=True)
+            write_batch(new, path, batch_id, app_id, fmt)
         finally:
             batch.unpersist()
 
@@ -62,6 +63,7 @@ def start_dedup_merge(
     lateness: str = LATENESS,
     mode: str = "available_now",
     fmt: str = "parquet",
+    partitions: int | None = None,
 ) -> StreamingQuery:
     writer = (
         deduplicated(valid_stream, lateness)
@@ -69,7 +71,8 @@ def start_dedup_merge(
         .queryName("dedup_" + app_id)
         .foreachBatch(merge_handler(path, app_id, fmt=fmt))
     )
-    return with_trigger(writer, mode).start()
+    with state_partitions(valid_stream.sparkSession, partitions):
+        return with_trigger(writer, mode).start()
 
 
 def enrich_handler(path: str, app_id: str, snapshot_root: str, spec: SnapshotSpec, fmt: str = "parquet"):

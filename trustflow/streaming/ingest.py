@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -16,6 +18,22 @@ def with_trigger(writer: DataStreamWriter, mode: str) -> DataStreamWriter:
     raise ValueError("mode must be available_now or processing_time")
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, count: int | None):
+    """Shuffle partitions for a stateful query started inside the block.
+
+    A query keeps the number of its first start, one state store each, so it should follow
+    the cores that will run it rather than the default for batch jobs.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(count or before))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ensure_append_only(spark: SparkSession, table: str, fmt: str = "parquet") -> None:
     """Creates the raw table when missing and refuses one of another kind."""
     spark.sql(
