@@ -189,3 +189,24 @@ def test_latency_sketch_matches_exact_on_small_data(spark):
     exact = health.latency_profile(rows, "later", "earlier").first()
     rough = health.latency_profile(rows, "later", "earlier", exact=False).first()
     assert abs(exact.p95 - rough.p95) <= 1 and exact.max == rough.max == 1000.0
+
+
+def test_exact_percentiles_over_many_partitions(spark):
+    """Heavy ties, negatives and an even count against a direct computation."""
+    values = [(i * 37) % 101 if i % 3 else 7 for i in range(1000)] + [-5, -1]
+    rows = spark.createDataFrame([(v,) for v in values], "s BIGINT").select(
+        F.timestamp_seconds(F.col("s") + 1000).alias("later"),
+        F.timestamp_seconds(F.lit(1000)).alias("earlier"),
+    )
+    got = health.latency_profile(rows.repartition(7), "later", "earlier").first()
+    good = sorted(v for v in values if v >= 0)
+
+    def cont(p):
+        rank = p * (len(good) - 1)
+        low = int(rank)
+        return good[low] + (good[min(low + 1, len(good) - 1)] - good[low]) * (rank - low)
+
+    assert (got.measured, got.negative, got.max) == (len(good), 2, max(good))
+    assert got.p50 == pytest.approx(cont(0.5)) and got.p95 == pytest.approx(cont(0.95))
+    empty = health.latency_profile(rows.limit(0), "later", "earlier").first()
+    assert (empty.measured, empty.p50, empty.max) == (0, None, None)

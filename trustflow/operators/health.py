@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trustflow.functions.times import seconds_between
+from trustflow.operators.ordering import cumulative_counts
 
 WINDOW = "5 minutes"
+PERCENTILES = {"p50": 0.5, "p95": 0.95}
 
 
 def closed_windows(df: DataFrame, as_of: Column, at: str = "ingested_at", size: str = WINDOW) -> DataFrame:
@@ -29,21 +31,48 @@ def throughput(deliveries: DataFrame, as_of: Column) -> DataFrame:
 def latency_profile(df: DataFrame, later: str, earlier: str, exact: bool = True) -> DataFrame:
     """Percentiles of the latency in seconds; negative values are counted apart.
 
-    The exact percentile merges value counts, so it fits ranges with a bounded number of
-    distinct values. ``exact=False`` keeps a fixed-size sketch for unbounded ranges.
+    The exact form reads them off sorted value counts that stay distributed. ``exact=False``
+    keeps a fixed-size sketch in one pass instead.
     """
-    lag = df.select(seconds_between(F.col(later), F.col(earlier)).alias("s"))
-    usable = F.when(F.col("s") >= 0, F.col("s"))
-
-    def at(p: float) -> Column:
-        return F.percentile(usable, p) if exact else F.percentile_approx(usable, p, 100000)
-
-    return lag.agg(
-        F.count(usable).alias("measured"),
-        F.count_if(F.col("s") < 0).alias("negative"),
-        at(0.5).alias("p50"),
-        at(0.95).alias("p95"),
-        F.max(usable).alias("max"),
+    micros = (F.unix_micros(later) - F.unix_micros(earlier)).alias("v")
+    lags = df.select(micros).where("v IS NOT NULL")
+    usable = F.when(F.col("v") >= 0, F.col("v"))
+    if not exact:
+        return lags.agg(
+            F.count(usable).alias("measured"),
+            F.count_if(F.col("v") < 0).alias("negative"),
+            *[(F.percentile_approx(usable, p, 100000) / 1e6).alias(n) for n, p in PERCENTILES.items()],
+            (F.max(usable) / 1e6).alias("max"),
+        )
+    ranked = cumulative_counts(lags, "v")
+    measured = F.col("total") - F.col("negative")
+
+    def value_at(index: Column) -> Column:
+        covered = (F.col("below") <= index) & (index < F.col("below") + F.col("n"))
+        return F.max(F.when(covered, F.col("v")))
+
+    picks = []
+    for name, p in PERCENTILES.items():
+        rank = F.col("negative") + p * (measured - 1)
+        picks += [
+            value_at(F.floor(rank)).alias(f"{name}_lo"),
+            value_at(F.ceil(rank)).alias(f"{name}_hi"),
+            F.max(rank - F.floor(rank)).alias(f"{name}_part"),
+        ]
+    found = ranked.agg(
+        F.coalesce(F.max(measured), F.lit(0)).alias("measured"),
+        F.coalesce(F.max("negative"), F.lit(0)).alias("negative"),
+        *picks,
+        (F.max(usable) / 1e6).alias("max"),
+    )
+
+    def between(name: str) -> Column:
+        low, high = F.col(f"{name}_lo"), F.col(f"{name}_hi")
+        return ((low + (high - low) * F.col(f"{name}_part")) / 1e6).alias(name)
+
+    some = F.col("measured") > 0
+    return found.select(
+        "measured", "negative", *[F.when(some, between(n)).alias(n) for n in PERCENTILES], "max"
     )
 
 
