@@ -56,7 +56,7 @@ def test_coordinate_filter_reaches_the_scan(spark, sf_dir):
 def test_rules_run_without_python(spark, sf_dir):
     checked = fx.ev(spark, sf_dir).select(rules.codes(fx.CONTRACT).alias("c"))
     text = plan(checked)
-    assert "Python" not in text and "Exchange" not in text
+    assert "Python" not in text and "hashpartitioning" not in text
 
 
 def test_dedup_limits_groups_before_the_shuffle(spark, sf_dir):

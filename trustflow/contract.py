@@ -149,7 +149,7 @@ MAX_SKEW_SECONDS = 300
 AVRO_KINDS = {"string": "string", "int": "int"}
 
 
-def avro_schema(fields, event_names, record="ClickstreamEvent") -> str:
+def avro_schema(fields, event_names, record="ProductEvent") -> str:
     """Writer schema text for a field list, in the Avro JSON notation."""
     out = []
     for f in fields:

@@ -31,6 +31,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Uses all cores on a small input, which arrives as one file and so as one task.
+
+    A large input has enough splits of its own and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def add_level(df: DataFrame, level) -> DataFrame:
     return df.select("*", *[F.expr(e).alias(n) for n, e in level])
 
@@ -40,7 +49,7 @@ def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     attempts = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))
     )
-    df = table(spark, sf_dir, "events").select(
+    df = spread(table(spark, sf_dir, "events")).select(
         F.col("event_id").alias("n"),
         "ts",
         "user_id",
@@ -89,12 +98,7 @@ def staged(spark: SparkSession, sf_dir: str, name: str, derive) -> str:
     at = (spark.sparkContext.applicationId, sf_dir, name)
     if at not in _STAGED:
         path = scratch_dir(spark, name)
-        df = derive(spark, sf_dir)
-        cores = spark.sparkContext.defaultParallelism
-        # A small input arrives as one file; a large one has enough splits of its own.
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-        df.write.parquet(path)
+        derive(spark, sf_dir).write.parquet(path)
         _STAGED[at] = path
     return _STAGED[at]
 
@@ -180,7 +184,7 @@ def snapshot_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def appointment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An event stream from orders: booking, start and completion of each appointment."""
-    orders = add_level(table(spark, sf_dir, "orders"), sql.ORDER_LEVEL)
+    orders = add_level(spread(table(spark, sf_dir, "orders")), sql.ORDER_LEVEL)
 
     def action(name: str, at, when=None):
         row = F.struct(F.lit(name).alias("event_name"), at.alias("event_time"))
