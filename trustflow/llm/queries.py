@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from trustflow.llm import decontaminate, oracles
+from trustflow.llm import decontaminate, oracles, simhash
 
 QUERIES = {
+    "op5_simhash": simhash.op5,
     "op10_decontamination": decontaminate.op10,
 }
 
