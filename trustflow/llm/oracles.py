@@ -30,3 +30,52 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+WARC = """
+WITH p AS (
+  SELECT page_id, sha1(coalesce(html, '')) AS sha, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY sha, payload_bytes) AS first FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(sha, (5 * (i // 4) + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+def _spans(kind: str, pattern: str, holds: str = "true") -> str:
+    """Rows (doc_id, kind, start, end, m) of one pattern: the lengths of the pieces between the
+    matches and of the matches give the places."""
+    return rf"""
+  SELECT doc_id, '{kind}' AS kind, s AS "start", s + length(m) AS "end", m FROM (
+    SELECT doc_id, unnest(range(1, len(ms) + 1)) AS i, ms[i] AS m,
+      list_sum(list_transform(ps[1:i], lambda x: length(x)))::BIGINT
+        + coalesce(list_sum(list_transform(ms[1:i-1], lambda x: length(x))), 0)::BIGINT AS s
+    FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS ps
+          FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))
+  ) WHERE {holds}"""
+
+
+_ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+SECRETS = rf"""
+WITH base AS ({_spans("assign", _ASSIGN, f"length(regexp_extract(m, '{_ASSIGN}', 2)) >= 6")}
+  UNION ALL {_spans("access", "AKIA[A-Z0-9]+", "length(m) >= 20")}
+  UNION ALL {_spans("hex", "[0-9a-f]+", "length(m) >= 24")}
+), more AS ({_spans("pem", "-----BEGIN (?:[A-Z]{1,20} ){0,3}PRIVATE KEY-----")}
+  UNION ALL {_spans("jwt", r"\beyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")}
+  UNION ALL {_spans("github", r"\bgh[pousr]_[A-Za-z0-9]{36,}")}
+), spans AS (
+  SELECT doc_id, kind, list_position(['assign', 'access', 'hex', 'pem', 'jwt', 'github'], kind) AS k, "start",
+    concat_ws(':', kind, "start", "end") AS s
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM more)
+), agg AS (
+  SELECT doc_id, count(*) FILTER (k = 1) AS n_assign, count(*) FILTER (k = 2) AS n_access, count(*) FILTER (k = 3) AS n_hex,
+    string_agg(s, ',' ORDER BY "start", k) FILTER (k <= 3) AS b, string_agg(s, ',' ORDER BY "start", k) AS spans
+  FROM spans GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN agg USING (doc_id)
+"""

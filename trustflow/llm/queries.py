@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from trustflow.llm import decontaminate, oracles, simhash
+from trustflow.llm import decontaminate, mixing, oracles, quality, secrets, simhash, tokens, toxicity, warc
 
 QUERIES = {
+    "op1_warc": warc.op1,
+    "op2_quality_rules": quality.op2,
+    "op4_token_counts": tokens.op4,
     "op5_simhash": simhash.op5,
+    "op6_mixing": mixing.op6,
+    "op7_secrets": secrets.op7,
+    "op9_toxicity": toxicity.op9,
     "op10_decontamination": decontaminate.op10,
 }
 
 ORACLES = {
+    "op1_warc": oracles.WARC,
+    "op7_secrets": oracles.SECRETS,
     "op10_decontamination": oracles.DECONTAMINATION,
 }
