@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from trustflow.llm import decontaminate, mixing, oracles, quality, secrets, simhash, tokens, toxicity, warc
+from trustflow.llm import decontaminate, mixing, oracles, pii, quality, secrets, simhash, tokens, toxicity, urls, warc
 
 QUERIES = {
     "op1_warc": warc.op1,
     "op2_quality_rules": quality.op2,
+    "op3_url_filters": urls.op3,
     "op4_token_counts": tokens.op4,
     "op5_simhash": simhash.op5,
     "op6_mixing": mixing.op6,
     "op7_secrets": secrets.op7,
+    "op8_pii": pii.op8,
     "op9_toxicity": toxicity.op9,
     "op10_decontamination": decontaminate.op10,
 }
