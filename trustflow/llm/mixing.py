@@ -192,7 +192,9 @@ def mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     docs = store.keep(docs, "sized")
     sources = store.keep(targets(docs, weights, repeats, block_words), "sources")
     numbered = docs.join(sources.select(F.col("source").alias("of"), "source_no", "n_docs"), F.col("source").eqNullSafe(F.col("of")))
+    # Stored, so that its size is known: the few rows that the slots unfold from say nothing about it.
     times = slots(spark, sources, shard_slots, seed).groupBy("source_no", "block").agg(F.count("*").alias("times"))
+    times = store.keep(times, "times")
     parts = spans(layout(numbered.drop("of", "source")), block_words).select("rid", "id", "size", "source_no", "block", "overlap")
     part = F.col("overlap") * F.coalesce("times", F.lit(0))
     taken = parts.join(times, ["source_no", "block"], "left").groupBy("rid", "id", "size", "source_no").agg(F.sum(part).alias("taken"))
