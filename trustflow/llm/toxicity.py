@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Matrices
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from trustflow.llm import store
@@ -38,7 +39,7 @@ FUZZY_LENGTH = 5
 CONTEXT = 48
 FOLDS = 5
 MISSPELLED = 0.5  # weight of a misspelled hit
-FEATURES = ("direct", "quoted", "addressed", "terms", "density", "length")
+FEATURES = ("direct", "quoted", "addressed", "terms", "density")
 #: Marks and words that show quotation or address in four languages.
 QUOTES = "\"“”„«»‘’"
 REPORTING = frozenset("said says wrote writes called quote quoted sagte schrieb nannte zitat dit écrit appelé cité dijo escribió llamó cita".split())
@@ -147,7 +148,7 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
             terms += share
     return [
         math.log1p(direct), math.log1p(quoted), math.log1p(addressed), math.log1p(terms),
-        math.log1p(100.0 * terms / max(1, len(words))), math.log1p(len(words)),
+        math.log1p(100.0 * terms / max(1, len(words))),
     ]
 
 
@@ -251,7 +252,9 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> Mo
         with_features(sample, terms, words).select(array_to_vector("x").alias("features"), F.col("row.toxic").cast("double").alias("label")),
         "toxic-features",
     )
-    model = LogisticRegression(regParam=1e-3, maxIter=50).fit(x)
+    # Hits never speak for a text.
+    floor = Matrices.dense(1, len(FEATURES), [0.0] * len(FEATURES))
+    model = LogisticRegression(regParam=1e-3, maxIter=50, lowerBoundsOnCoefficients=floor).fit(x)
     return Model(terms, words, [float(w) for w in model.coefficients], float(model.intercept))
 
 
