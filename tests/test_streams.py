@@ -1,6 +1,7 @@
 """Restart, late data, bindings, progress and table targets of the streaming jobs."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +30,16 @@ VALID_DDL = (
 )
 
 
+def waited(spark, log):
+    """Progress reports reach listeners a little later than the query ends."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    seen = -1
+    while seen != log.count:
+        seen = log.count
+        time.sleep(0.5)
+    spark.streams.removeListener(log)
+
+
 def valid_row(event_id, minutes, offset):
     return (event_id, START + dt.timedelta(minutes=minutes), f"t:0:{offset}", START, 0, offset)
 
@@ -45,9 +56,12 @@ def test_ingest_into_a_table_and_restart(spark, tmp_path):
     topic, checkpoint = tmp_path / "topic", str(tmp_path / "checkpoint")
     put_file(spark, topic, [delivery(0), delivery(1, None)])
 
+    ops = str(tmp_path / "ops")
+    log = progress.start_log(spark, ops)
+
     def run():
         stream = kafka.delivery_file_stream(spark, str(topic), 1)
-        query = ingest.start_ingest(stream, checkpoint, table=table)
+        query = ingest.start_ingest(stream, ingest.RawSink(table=table), checkpoint)
         query.awaitTermination()
         return query
 
@@ -61,40 +75,63 @@ def test_ingest_into_a_table_and_restart(spark, tmp_path):
     assert [r.raw_record_id for r in rows] == ["events:0:0", "events:0:1", "events:0:2"]
     assert rows[1].value is None and rows[0].headers[0].key == "h"
     assert a.id == b.id == c.id and len({a.runId, b.runId, c.runId}) == 3
-    report = progress.progress_rows(spark, c).orderBy("batch_id").collect()
+    waited(spark, log)
+    report = progress.progress_rows(spark, ops).where(F.col("run_id") == c.runId).orderBy("batch_id").collect()
     assert sum(r.input_rows for r in report) == 1
     assert report[0].start_offset != report[0].end_offset
 
 
-def test_ingest_refuses_another_kind_of_table(spark):
-    spark.sql("DROP TABLE IF EXISTS plain_raw")
-    spark.sql(f"CREATE TABLE plain_raw ({RAW_DDL}) USING parquet")
-    with pytest.raises(ValueError, match="append-only"):
-        ingest.ensure_append_only(spark, "plain_raw")
+def test_ingest_refuses_another_kind_of_table(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS other_raw")
+    spark.sql("CREATE TABLE other_raw (id BIGINT) USING parquet")
+    with pytest.raises(ValueError, match="columns of raw"):
+        ingest.RawSink(table="other_raw").prepare(spark)
+    spark.range(1).write.parquet(str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="columns of raw"):
+        ingest.RawSink(path=str(tmp_path / "other")).prepare(spark)
+    with pytest.raises(ValueError, match="cannot enforce"):
+        ingest.RawSink(table="other_raw", enforced=True).prepare(spark)
+    with pytest.raises(ValueError, match="either"):
+        ingest.RawSink().prepare(spark)
 
 
 def test_rate_limit_makes_one_batch_per_file(spark, tmp_path):
     for i in range(3):
         put_file(spark, tmp_path / "topic", [delivery(i)])
     stream = kafka.delivery_file_stream(spark, str(tmp_path / "topic"), 1)
-    query = ingest.start_ingest(stream, str(tmp_path / "c"), path=str(tmp_path / "raw"))
+    log = progress.start_log(spark, str(tmp_path / "ops"))
+    query = ingest.start_ingest(stream, ingest.RawSink(path=str(tmp_path / "raw")), str(tmp_path / "c"))
     query.awaitTermination()
-    sizes = [r.input_rows for r in progress.progress_rows(spark, query).collect() if r.input_rows]
+    waited(spark, log)
+    sizes = [r.input_rows for r in progress.progress_rows(spark, str(tmp_path / "ops")).collect() if r.input_rows]
     assert sizes == [1, 1, 1]
 
 
 def test_trigger_modes():
     with pytest.raises(ValueError):
-        ingest.with_trigger(None, "once")
+        ingest.paced(None, "once")
+
+
+def test_progress_of_a_long_run_is_whole(spark, tmp_path):
+    for i in range(112):
+        put_file(spark, tmp_path / "topic", [delivery(i)])
+    log = progress.start_log(spark, str(tmp_path / "ops"))
+    stream = kafka.delivery_file_stream(spark, str(tmp_path / "topic"), 1)
+    query = ingest.start_ingest(stream, ingest.RawSink(path=str(tmp_path / "raw")), str(tmp_path / "c"))
+    query.awaitTermination()
+    waited(spark, log)
+    assert len(query.recentProgress) <= 100
+    rows = progress.progress_rows(spark, str(tmp_path / "ops")).where("input_rows > 0")
+    assert rows.agg(F.sum("input_rows"), F.countDistinct("batch_id")).first()[:] == (112, 112)
 
 
 def test_retried_classify_batch_replaces_itself(spark, tmp_path):
     path = str(tmp_path / "classified")
     values = [frame(booking()), b"", None]
     rows = [("events", 0, i, None, v, None, START, 0) for i, v in enumerate(values)]
-    from trustflow.operators.bronze import bronze_rows
+    from trustflow.operators.bronze import raw_deliveries
 
-    batch = bronze_rows(spark.createDataFrame(rows, kafka.KAFKA_DDL))
+    batch = raw_deliveries(spark.createDataFrame(rows, kafka.KAFKA_DDL))
     handle = classify.batch_handler(path, "app", {1: CONTRACT.schema_json}.get, CONTRACT)
     handle(batch, 0)
     handle(batch, 0)
@@ -113,13 +150,16 @@ def test_late_rows_drop_after_the_gap_batch_and_come_back(spark, tmp_path):
     put_file(spark, source, [valid_row("c", 121, 3)], VALID_DDL)
     put_file(spark, source, [valid_row("late", 10, 4), valid_row("intime", 100, 5)], VALID_DDL)
     path = str(tmp_path / "events")
+    log = progress.start_log(spark, str(tmp_path / "ops"))
     query = dedup_stream.start_dedup_merge(
         valid_stream(spark, source), path, str(tmp_path / "c"), "app"
     )
     query.awaitTermination()
     durable = spark.read.parquet(path)
     assert sorted(r.event_id for r in durable.collect()) == ["a", "b", "c", "intime"]
-    assert progress.dropped_by_watermark(query) == 1
+    waited(spark, log)
+    dropped = progress.dropped_by_watermark(spark, str(tmp_path / "ops")).first()
+    assert (dropped.query_id, dropped.dropped_by_watermark) == (query.id, 1)
     valid = spark.read.schema(VALID_DDL).parquet(str(source))
     lost = dedup.first_delivery(reconcile.missing_events(valid, durable)).collect()
     assert [r.event_id for r in lost] == ["late"]
@@ -162,18 +202,34 @@ def test_enrichment_waits_for_a_snapshot(spark, tmp_path):
         handle(spark.createDataFrame([valid_row("a", 0, 0)], VALID_DDL), 0)
 
 
-def test_checkpoint_binding(spark, tmp_path):
-    checkpoint, bound = str(tmp_path / "c"), {"source": "raw", "target": "routes", "rules": "1.0.0"}
-    filled, empty = spark.range(1), spark.range(0)
-    with pytest.raises(ValueError, match="filled target"):
-        binding.bind_checkpoint(spark, checkpoint, bound, filled)
-    binding.bind_checkpoint(spark, checkpoint, bound, empty)
-    binding.bind_checkpoint(spark, checkpoint, bound, filled)
-    with pytest.raises(ValueError, match="differs"):
-        binding.bind_checkpoint(spark, checkpoint, {**bound, "rules": "1.1.0"}, filled)
-    store.make_dirs(spark, str(tmp_path / "old"))
-    with pytest.raises(ValueError, match="without a binding"):
-        binding.bind_checkpoint(spark, str(tmp_path / "old"), bound, empty)
+def test_checkpoint_claims(spark, tmp_path):
+    registry, checkpoint = str(tmp_path / "registry"), str(tmp_path / "c")
+    mine = binding.Claim("routes", "raw", "classified", "1.0.0")
+    assert binding.claim(spark, registry, checkpoint, mine) is True
+    store.make_dirs(spark, checkpoint + "/offsets")
+    assert binding.claim(spark, registry, checkpoint + "/", mine) is False
+    with pytest.raises(ValueError, match="rules '1.0.0' is not '1.1.0'"):
+        binding.claim(spark, registry, checkpoint, binding.Claim("routes", "raw", "classified", "1.1.0"))
+    store.make_dirs(spark, str(tmp_path / "old" / "offsets"))
+    with pytest.raises(ValueError, match="nobody claimed"):
+        binding.claim(spark, registry, str(tmp_path / "old"), mine)
+
+
+def test_streams_claim_their_checkpoints_and_keep_views(spark, tmp_path):
+    registry, topic = str(tmp_path / "registry"), tmp_path / "topic"
+    put_file(spark, topic, [delivery(0)])
+    raw = kafka.delivery_file_stream(spark, str(topic))
+    sink = ingest.RawSink(path=str(tmp_path / "raw"))
+    ingest.start_ingest(raw, sink, str(tmp_path / "c"), registry=registry, source="a").awaitTermination()
+    with pytest.raises(ValueError, match="source 'a' is not 'b'"):
+        ingest.start_ingest(raw, sink, str(tmp_path / "c"), registry=registry, source="b")
+    stored = spark.readStream.schema(RAW_DDL).parquet(str(tmp_path / "raw"))
+    lookup = {1: CONTRACT.schema_json}.get
+    path = str(tmp_path / "classified")
+    classify.start_classify(
+        stored, path, str(tmp_path / "k"), "app", lookup, CONTRACT, views="kept_", registry=registry
+    ).awaitTermination()
+    assert spark.table("kept_validated_deliveries").count() + spark.table("kept_quarantine_events").count() == 1
 
 
 def test_recovery_time(spark):

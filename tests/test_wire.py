@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from wire_helper import CONTRACT, booking, datum, frame, varint
 
+from trustflow.functions import ids
 from trustflow.operators import bronze, classify
 from trustflow.sources.kafka import KAFKA_DDL
 
@@ -17,7 +18,7 @@ def classified(spark, values, schemas=None):
     rows = [("t", 0, i, None, v, None, None, 0) for i, v in enumerate(values)]
     raw = spark.createDataFrame(rows, KAFKA_DDL)
     catalog = classify.catalog_rows(spark, SCHEMAS if schemas is None else schemas)
-    return classify.classify(bronze.bronze_rows(raw), catalog, CONTRACT)
+    return classify.classify(bronze.raw_deliveries(raw), catalog, CONTRACT)
 
 
 def outcomes(spark, values, schemas=None):
@@ -119,14 +120,14 @@ def test_unresolved_schema_fails_the_batch(spark):
 
 def test_schema_outage_and_guard_stop_the_batch(spark):
     rows = [("t", 0, i, None, frame(booking(), i + 1), None, None, 0) for i in range(3)]
-    deliveries = bronze.bronze_rows(spark.createDataFrame(rows, KAFKA_DDL))
+    deliveries = bronze.raw_deliveries(spark.createDataFrame(rows, KAFKA_DDL))
 
     def outage(schema_id):
         raise ConnectionError("registry is down")
 
     with pytest.raises(ConnectionError):
         classify.resolve_schemas(deliveries, outage)
-    with pytest.raises(ValueError, match="Too many schema ids"):
+    with pytest.raises(ValueError, match="more than 2 writer schemas"):
         classify.resolve_schemas(deliveries, lambda i: None, limit=2)
 
 
@@ -161,3 +162,15 @@ def test_decoder_matches_on_many_sliced_batches(spark):
         (e["event_id"], e["event_name"], e["anonymous_id"], e["scheduled_start_time"]) for e in events
     ]
     assert len(datum(events[5])) > 100
+
+
+def test_a_catalog_of_many_ids_loses_none(spark):
+    raw = spark.createDataFrame([("t", 0, 0, None, frame(booking(), 250), None, None, 0)], KAFKA_DDL)
+    catalog = classify.catalog_rows(spark, {i: CONTRACT.schema_json for i in range(1, 301)})
+    assert classify.classify(bronze.raw_deliveries(raw), catalog, CONTRACT).first().route == "valid"
+
+
+def test_long_numbers_stay_whole(spark):
+    df = spark.createDataFrame([(123456789, "cus_123456789"), (7, "cus_1234567890123456789012345678"), (8, "abc_5"), (9, "cus_1x")], "n BIGINT, id STRING")
+    got = df.select(ids.numbered("delivery-", F.col("n"), 8), ids.number_of(F.col("id"), "cus_")).collect()
+    assert [tuple(r) for r in got] == [("delivery-123456789", 123456789), ("delivery-00000007", None), ("delivery-00000008", None), ("delivery-00000009", None)]

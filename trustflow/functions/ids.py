@@ -35,11 +35,15 @@ def hash_identifier(prefix: str, *parts: Column) -> Column:
 
 
 def number_of(identifier: Column, prefix: str) -> Column:
-    return F.substring(identifier, len(prefix) + 1, 20).try_cast("bigint")
+    """The number behind the prefix; NULL for another prefix, other characters or a number too large."""
+    rest = F.substring(identifier, len(prefix) + 1, F.length(identifier))
+    return F.when(identifier.startswith(prefix) & rest.rlike(r"\A[0-9]+\z"), rest.try_cast("bigint"))
 
 
 def numbered(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+    """prefix + number, zero-padded to at least ``width`` digits; longer numbers stay whole."""
+    digits = number.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
 
 
 def whole_match(col: Column, pattern: str) -> Column:

@@ -62,16 +62,17 @@ def _timestamp(df: DataFrame, name: str) -> Column:
 
 
 def row_code_columns(df: DataFrame, spec: SnapshotSpec, snapshot_at=None) -> dict[str, Column]:
-    """Row rules by code name; each gives the full code text or NULL."""
-    key = F.col(spec.key)
+    """Row rules by code name; each gives the full code text or NULL. A rule that a NULL leaves
+    open is broken: the source allows no NULL in any column."""
+    key = F.coalesce(spec.key, F.lit(""))
     created, updated = _timestamp(df, spec.created), _timestamp(df, spec.updated)
     utc = created.isNotNull() & updated.isNotNull()
 
     def code(name: str, condition: Column, *suffix: Column) -> Column:
-        return F.when(condition, F.concat_ws(":", F.lit(name), key, *suffix))
+        return F.when(F.coalesce(condition, F.lit(True)), F.concat_ws(":", F.lit(name), key, *suffix))
 
     rules = {
-        "CUSTOMER_ID_INVALID": code("CUSTOMER_ID_INVALID", ~whole_match(key, spec.key_pattern)),
+        "CUSTOMER_ID_INVALID": code("CUSTOMER_ID_INVALID", ~whole_match(F.col(spec.key), spec.key_pattern)),
         "TIMESTAMP_NOT_UTC": code("TIMESTAMP_NOT_UTC", ~utc),
         "SIGNUP_DATE_TOO_EARLY": code(
             "SIGNUP_DATE_TOO_EARLY", utc & (F.col(spec.signup) < F.lit(spec.earliest_signup).cast("date"))
@@ -125,15 +126,21 @@ def table_errors(df: DataFrame, spec: SnapshotSpec, expected_count: int | None =
     return stats.select(F.explode(kept).alias("code"))
 
 
+def order_errors(stored: DataFrame, spec: SnapshotSpec) -> DataFrame:
+    """CUSTOMER_ORDER_INVALID for stored files whose rows are not in key order."""
+    broken = order_inversions(stored, spec.key).where("inversions > 0")
+    return broken.select(F.lit("CUSTOMER_ORDER_INVALID").alias("code"))
+
+
 def snapshot_errors(
-    df: DataFrame, spec: SnapshotSpec, expected_count: int | None = None, snapshot_at=None
+    df: DataFrame, spec: SnapshotSpec, expected_count: int | None = None, snapshot_at=None, ordered: bool = False
 ) -> DataFrame:
-    """Distinct error codes; no rows means the snapshot may be published."""
-    return (
-        table_errors(df, spec, expected_count)
-        .unionByName(row_errors(df, spec, snapshot_at))
-        .distinct()
-    )
+    """Distinct error codes; no rows means the snapshot may be published. ``ordered`` asks for key
+    order too, which is a property of stored files, so ``df`` must be read from files then."""
+    codes = table_errors(df, spec, expected_count).unionByName(row_errors(df, spec, snapshot_at))
+    if ordered:
+        codes = codes.unionByName(order_errors(df, spec))
+    return codes.distinct()
 
 
 def order_inversions(stored: DataFrame, key: str) -> DataFrame:
@@ -186,14 +193,21 @@ def value_distributions(df: DataFrame, columns) -> DataFrame:
 
 
 def diff(old: DataFrame, new: DataFrame, spec: SnapshotSpec) -> DataFrame:
-    """Change log between two snapshots. A key absent from the new one is not a deletion."""
+    """Change log between two snapshots over all columns. A key absent from the new one is not a deletion.
+
+    Deletion and restoration say what became of status and flag together; every other column that
+    differs is a change of its own. The update time belongs to each change as ``effective_at`` and is
+    only listed where nothing else differs.
+    """
     k = spec.key
     o = old.select(F.col(k).alias("_key"), F.struct(*spec.columns).alias("o"))
     n = new.select(F.col(k).alias("_key"), F.struct(*spec.columns).alias("n"))
     joined = n.join(o, "_key", "left")
     was, now = F.col("o"), F.col("n")
     inserted = was.isNull()
-    deleted = ~inserted & now[spec.deleted] & ~was[spec.deleted]
+    gone, had_gone = (F.coalesce(side[spec.deleted], F.lit(False)) for side in (now, was))
+    deleted, restored = ~inserted & gone & ~had_gone, ~inserted & ~gone & had_gone
+    turned = deleted | restored
 
     def change(operation: str, name: str, before: Column, after: Column) -> Column:
         return F.struct(
@@ -211,11 +225,19 @@ def diff(old: DataFrame, new: DataFrame, spec: SnapshotSpec) -> DataFrame:
         F.when(
             deleted, change("soft_delete", f"{spec.status},{spec.deleted}", pair(was), pair(now))
         ),
+        F.when(restored, change("restore", f"{spec.status},{spec.deleted}", pair(was), pair(now))),
     ]
-    for name in spec.domains:
-        differs = ~inserted & ~deleted & ~was[name].eqNullSafe(now[name])
-        changes.append(F.when(differs, change("update", name, was[name], now[name])))
-    listed = F.filter(F.array(*changes), lambda c: c.isNotNull())
+    for name in spec.columns:
+        if name in (k, spec.updated):
+            continue
+        differs = ~inserted & ~was[name].eqNullSafe(now[name])
+        if name in (spec.status, spec.deleted):
+            differs = differs & ~turned
+        changes.append(F.when(differs, change("update", name, was[name].cast("string"), now[name].cast("string"))))
+    found = F.filter(F.array(*changes), lambda c: c.isNotNull())
+    touched = ~inserted & ~was[spec.updated].eqNullSafe(now[spec.updated])
+    only_time = change("update", spec.updated, was[spec.updated].cast("string"), now[spec.updated].cast("string"))
+    listed = F.when((F.size(found) == 0) & touched, F.array(only_time)).otherwise(found)
     return joined.select("_key", "n", F.explode(listed).alias("c")).select(
         "c.operation",
         F.col("_key").alias(k),
@@ -227,10 +249,16 @@ def diff(old: DataFrame, new: DataFrame, spec: SnapshotSpec) -> DataFrame:
 
 
 def change_violations(old: DataFrame, new: DataFrame, spec: SnapshotSpec, effective_at) -> DataFrame:
-    """Broken change-set rules per key: immutable columns, update time, one change per key."""
+    """Broken change-set rules per key: immutable columns, update time, one change per key.
+
+    Immutable columns are compared for every key that both snapshots have, changed otherwise or not;
+    the other two rules are about the changes that a change set may hold.
+    """
     k = spec.key
+    frozen = [spec.signup, spec.created]
     touched = (
         diff(old, new, spec)
+        .where(~F.col("field").isin(*frozen, spec.updated))
         .groupBy(k)
         .agg(
             F.count(F.lit(1)).alias("_n"),
@@ -238,13 +266,12 @@ def change_violations(old: DataFrame, new: DataFrame, spec: SnapshotSpec, effect
             F.max("effective_at").alias("_at"),
         )
     )
-    frozen = [spec.signup, spec.created]
-    o = old.select(k, *[F.col(c).alias(f"o_{c}") for c in frozen])
-    both = touched.join(new.select(k, *frozen), k).join(o, k, "left")
-    kept = ~F.col("_new")
+    o = old.select(k, *[F.col(c).alias(f"o_{c}") for c in frozen], F.lit(True).alias("_old"))
+    both = new.select(k, *frozen).join(o, k, "left").join(touched, k, "left")
     broken = [
-        F.when(kept & ~F.col(c).eqNullSafe(F.col(f"o_{c}")), F.lit(f"CHANGED:{c}")) for c in frozen
+        F.when(F.col("_old") & ~F.col(c).eqNullSafe(F.col(f"o_{c}")), F.lit(f"CHANGED:{c}")) for c in frozen
     ]
+    kept = ~F.col("_new")
     broken.append(
         F.when(kept & (F.col("_at") != F.lit(effective_at).cast("timestamp")), F.lit("UPDATED_AT_WRONG"))
     )
@@ -254,15 +281,18 @@ def change_violations(old: DataFrame, new: DataFrame, spec: SnapshotSpec, effect
 
 
 def constraint_violations(df: DataFrame, spec: SnapshotSpec) -> DataFrame:
-    """Source CHECK and key constraints as counts per constraint."""
+    """Source CHECK, key and NOT NULL constraints as counts per constraint."""
     checks = {
         "key_format": ~whole_match(F.col(spec.key), spec.key_pattern),
         "update_order": F.col(spec.updated) < F.col(spec.created),
     }
     for name, values in spec.domains.items():
         checks[name] = ~F.coalesce(F.col(name).isin(list(values)), F.lit(False))
+    for name in spec.columns:
+        checks[f"not_null_{name}"] = F.col(name).isNull()
+    again = F.when(F.col(spec.key).isNull(), 0).otherwise(F.count(F.lit(1)) - 1)
     per_key = df.groupBy(spec.key).agg(
-        (F.count(F.lit(1)) - 1).alias("primary_key"),
+        again.cast("long").alias("primary_key"),
         *[F.count_if(c).alias(n) for n, c in checks.items()],
     )
     names = ["primary_key", *checks]

@@ -138,9 +138,10 @@ SNAPSHOT_V2: list[tuple[str, str]] = [
     ),
     ("is_deleted", "c_custkey % 50 = 0"),
 ]
-# A new row for every hundredth customer, created at the time of the second snapshot.
+# A new row for every hundredth customer, created at the time of the second snapshot. Its id has a letter
+# before the digits, so that it meets no other id at any scale.
 SNAPSHOT_NEW: list[tuple[str, str]] = [
-    ("customer_id", "concat('cus_', lpad(CAST(c_custkey + 1000000 AS STRING), 8, '0'))"),
+    ("customer_id", "concat('cus_n', lpad(CAST(c_custkey AS STRING), 8, '0'))"),
     ("signup_date", "DATE '2024-01-02'"),
     ("region", "region"),
     ("membership_plan", "membership_plan"),

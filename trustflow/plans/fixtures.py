@@ -31,13 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Uses all cores on a small input, which arrives as one file and so as one task.
-
-    A large input has enough splits of its own and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The rows by hash of their key, at any size: the given files hold one row group each, which no
+    setting can split."""
+    return df.repartition(key)
 
 
 def add_level(df: DataFrame, level) -> DataFrame:
@@ -49,7 +46,7 @@ def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     attempts = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))
     )
-    df = spread(table(spark, sf_dir, "events")).select(
+    df = spread(table(spark, sf_dir, "events"), "event_id").select(
         F.col("event_id").alias("n"),
         "ts",
         "user_id",
@@ -110,7 +107,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows with the fixed ingestion time of the fixture."""
-    return bronze.bronze_rows(raw(spark, sf_dir), F.col("timestamp") + seconds(5))
+    return bronze.raw_deliveries(raw(spark, sf_dir), F.col("timestamp") + seconds(5))
 
 
 def catalog(spark: SparkSession) -> DataFrame:
@@ -184,7 +181,7 @@ def snapshot_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def appointment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An event stream from orders: booking, start and completion of each appointment."""
-    orders = add_level(spread(table(spark, sf_dir, "orders")), sql.ORDER_LEVEL)
+    orders = add_level(spread(table(spark, sf_dir, "orders"), "o_orderkey"), sql.ORDER_LEVEL)
 
     def action(name: str, at, when=None):
         row = F.struct(F.lit(name).alias("event_name"), at.alias("event_time"))

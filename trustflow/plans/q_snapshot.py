@@ -19,6 +19,7 @@ REGIONS = ("africa", "america", "asia", "europe", "middle east")
 CHANNELS = ("automobile", "building", "furniture", "household", "machinery")
 SPEC = replace(
     snapshot.SnapshotSpec(),
+    key_pattern="cus_n?[0-9]{8,}",
     domains={
         "region": REGIONS,
         "membership_plan": ("basic", "premium"),
@@ -50,7 +51,7 @@ def flat(df, *more):
 
 
 # One fault per rule, each on its own share of the customers; the rest stays clean.
-_NUM = "CAST(substr(customer_id, 5, 8) AS INT)"
+_NUM = "TRY_CAST(substr(customer_id, 5) AS BIGINT)"
 _FAULTS = {
     "CUSTOMER_ID_INVALID": {
         "customer_id": f"CASE WHEN {_NUM} % 40 = 1 THEN concat(customer_id, 'x') ELSE customer_id END"
@@ -182,18 +183,66 @@ def quality_order(spark, sf):
     return out
 
 
-_CHECKS = ("primary_key", "key_format", "update_order", *SPEC.domains)
+@query(
+    "quality_nulls",
+    f"WITH {_V}, s AS (SELECT customer_id, {_NUM} % 40 AS share FROM v1) "
+    "SELECT DISTINCT CASE share WHEN 19 THEN 'CUSTOMER_ID_INVALID:' WHEN 13 THEN "
+    "concat('DELETED_CUSTOMER_NOT_CLOSED:', customer_id) WHEN 16 THEN concat('TIMESTAMP_NOT_UTC:', customer_id) "
+    "ELSE concat('SIGNUP_DATE_TOO_EARLY:', customer_id) END AS code FROM s WHERE share IN (12, 13, 16, 19) "
+    "UNION ALL SELECT concat('CREATED_AT_SIGNUP_MISMATCH:', customer_id) FROM s WHERE share = 12",
+)
+def quality_nulls(spark, sf):
+    """NULL in a column of the snapshot never passes the gate (one key at most is NULL here)."""
+    v1 = fx.snapshot_v1(spark, sf).withColumn("_share", F.expr(f"{_NUM} % 40"))
+    first = v1.where("_share = 19").agg(F.min("customer_id").alias("_first"))
+    faults = {
+        "signup_date": F.expr("CASE WHEN _share = 12 THEN NULL ELSE signup_date END"),
+        "is_deleted": F.expr("CASE WHEN _share = 13 THEN NULL ELSE is_deleted END"),
+        "created_at": F.expr("CASE WHEN _share = 16 THEN NULL ELSE created_at END"),
+    }
+    nameless = v1.join(first, F.col("customer_id") == F.col("_first")).withColumn("customer_id", F.lit(None).cast("string"))
+    rows = v1.withColumns(faults).unionByName(nameless.select(v1.columns))
+    return snapshot.snapshot_errors(rows, SPEC)
+
+
+# Offenders of every constraint, each on its own share of the customers.
+_BROKEN = {
+    "customer_id": ((1, "concat(customer_id, 'x')"), (19, "NULL")),
+    "region": ((2, "'atlantis'"), (18, "NULL")),
+    "membership_plan": ((3, "NULL"), (20, "'gold'")),
+    "acquisition_channel": ((14, "'radio'"), (21, "NULL")),
+    "account_status": ((15, "NULL"), (22, "'lost'")),
+    "signup_date": ((12, "NULL"),),
+    "created_at": ((16, "NULL"),),
+    "updated_at": ((17, "NULL"), (6, "created_at - INTERVAL '1' SECOND * 1")),
+    "is_deleted": ((13, "NULL"),),
+}
+_SHARES = {
+    "primary_key": (11,),
+    "key_format": (1,),
+    "update_order": (6,),
+    **{c: tuple(share for share, _ in _BROKEN[c]) for c in SPEC.domains},
+    **{f"not_null_{c}": tuple(share for share, e in _BROKEN[c] if e == "NULL") for c in SPEC.columns},
+}
 
 
 @query(
     "quality_constraints",
-    f"WITH {_V} SELECT 'region' AS constraint_name, count(*) FILTER ({_NUM} % 40 = 2) AS violations "
-    f"FROM v1 UNION ALL SELECT 'membership_plan', count(*) FILTER ({_NUM} % 40 = 3) FROM v1 "
-    "UNION ALL SELECT unnest(['primary_key', 'key_format', 'update_order', 'acquisition_channel', "
-    "'account_status']), 0::BIGINT",
+    f"WITH {_V} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS constraint_name, count(*) FILTER ({_NUM} % 40 IN ({', '.join(map(str, shares))})) "
+        "AS violations FROM v1"
+        for name, shares in _SHARES.items()
+    ),
 )
 def quality_constraints(spark, sf):
-    return snapshot.constraint_violations(_damaged(spark, sf, "VALUE_NOT_ALLOWED"), SPEC)
+    v1 = fx.snapshot_v1(spark, sf).withColumn("_share", F.expr(f"{_NUM} % 40"))
+    faults = {}
+    for column, cases in _BROKEN.items():
+        whens = " ".join(f"WHEN {share} THEN {e}" for share, e in cases)
+        faults[column] = F.expr(f"CASE _share {whens} ELSE {column} END")
+    twice = F.explode(F.array_repeat(F.lit(1), F.when(F.col("_share") == 11, 2).otherwise(1)))
+    return snapshot.constraint_violations(v1.withColumns(faults).withColumn("_c", twice), SPEC)
 
 
 @query(
@@ -218,12 +267,11 @@ def value_distributions(spark, sf):
 
 _ROW = "concat_ws('|', " + ", ".join(
     f"coalesce(concat('=', CAST({c} AS VARCHAR)), '~')"
-    for c in ("account_status", "acquisition_channel", "customer_id", "membership_plan", "region")
+    for c in sorted(SPEC.columns)
 ) + ")"
 _SUMS = ", ".join(
     f"sum(CAST(concat('0x', substr(h, {1 + 15 * i}, 15)) AS BIGINT)::HUGEINT) AS s{i}" for i in range(4)
 )
-_DIGEST_COLUMNS = ["account_status", "acquisition_channel", "customer_id", "membership_plan", "region"]
 
 
 @query(
@@ -234,7 +282,7 @@ _DIGEST_COLUMNS = ["account_status", "acquisition_channel", "customer_id", "memb
     "sha256(concat_ws(':', rows, s0, s1, s2, s3)) AS digest FROM b",
 )
 def content_digest_query(spark, sf):
-    return content_digest(fx.snapshot_v2(spark, sf), _DIGEST_COLUMNS)
+    return content_digest(fx.snapshot_v2(spark, sf), SPEC.columns)
 
 
 @query(
@@ -265,19 +313,20 @@ def snapshot_diff(spark, sf):
 @query(
     "change_invariants",
     f"WITH {_V}, n AS (SELECT *, {_NUM} AS k FROM v1) SELECT violation, count(*) AS n FROM ("
-    "SELECT 'CHANGED:signup_date' AS violation FROM n WHERE k % 20 = 3 AND k % 3 = 0 "
+    "SELECT 'CHANGED:signup_date' AS violation FROM n WHERE k % 20 IN (3, 7) AND k % 3 = 0 "
     "UNION ALL SELECT 'CHANGED_MORE_THAN_ONCE' FROM n WHERE k % 20 = 3 AND k % 7 = 0 "
     "UNION ALL SELECT 'UPDATED_AT_WRONG' FROM n WHERE k % 20 = 3 AND k % 11 = 0) GROUP BY violation",
 )
 def change_invariants(spark, sf):
     """The second snapshot with changes that a valid change set must not hold."""
     k = F.expr(_NUM)
-    flipped = (k % 20 == 3) & (k < 1_000_000)
+    flipped = F.coalesce(k % 20 == 3, F.lit(False))  # new ids have no number
+    still = F.coalesce(k % 20 == 7, F.lit(False))  # nothing else changes here
     v2 = fx.snapshot_v2(spark, sf)
     other = F.when(F.col("region") == "asia", "africa").otherwise("asia")
     spoiled = v2.withColumns(
         {
-            "signup_date": F.when(flipped & (k % 3 == 0), F.date_add("signup_date", 1)).otherwise(
+            "signup_date": F.when((flipped | still) & (k % 3 == 0), F.date_add("signup_date", 1)).otherwise(
                 F.col("signup_date")
             ),
             "region": F.when(flipped & (k % 7 == 0), other).otherwise(F.col("region")),
@@ -385,7 +434,7 @@ def latest_snapshot(spark, sf):
 def snapshot_digest_stable(spark, sf):
     """The digest of a snapshot equals the digest of its rows in another order."""
     v1 = fx.snapshot_v1(spark, sf)
-    shuffled = v1.repartition("region").sortWithinPartitions(F.desc("customer_id"))
+    shuffled = v1.repartitionByRange(F.desc("customer_id")).sortWithinPartitions(F.desc("customer_id"))
     a = table_digest(v1, SPEC.columns)
     b = table_digest(shuffled, SPEC.columns).select(F.col("digest").alias("other"), F.col("rows").alias("r"))
     return a.join(b, F.col("rows") == F.col("r")).select(

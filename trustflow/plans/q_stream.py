@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from trustflow.functions.times import seconds
 from trustflow.operators import classify, dedup, reconcile
-from trustflow.operators.bronze import RAW_DDL, bronze_rows
+from trustflow.operators.bronze import RAW_DDL, raw_deliveries
 from trustflow.plans import fixture_sql as sql
 from trustflow.plans import fixtures as fx
 from trustflow.plans.q_snapshot import SPEC
@@ -36,7 +36,7 @@ def topic_files(spark, sf, path, rows=None):
 
 def run_ingest(spark, source, target, checkpoint, per_trigger=None):
     stream = kafka.delivery_file_stream(spark, source, per_trigger)
-    started = ingest.start_ingest(stream, checkpoint, path=target, ingested_at=ingest_time())
+    started = ingest.start_ingest(stream, ingest.RawSink(path=target), checkpoint, arrival=ingest_time())
     started.awaitTermination()
     return started
 
@@ -130,7 +130,7 @@ def stream_classify(spark, sf):
 
 def valid_stream(spark, topic, per_trigger=None):
     """Future-dated and broken events leave before the watermark sees them."""
-    raw = bronze_rows(kafka.delivery_file_stream(spark, topic, per_trigger), ingest_time())
+    raw = raw_deliveries(kafka.delivery_file_stream(spark, topic, per_trigger), ingest_time())
     routed = classify.classify(raw, fx.catalog(spark), fx.CONTRACT)
     return classify.valid_view(routed, fx.CONTRACT).drop("processed_at")
 

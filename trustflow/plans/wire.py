@@ -11,8 +11,9 @@ OTHER_SCHEMA_ID, UNKNOWN_SCHEMA_ID, CONTRACT_SCHEMA_ID = 2, 404, 1
 
 
 def small_varint(number: Column) -> Column:
-    """Zig-zag varint of 0..63 as one character."""
-    return F.chr(number * 2)
+    """Zig-zag varint of a number from 0 to 63 as one character; any other is an error."""
+    told = F.raise_error(F.concat(F.lit("No one-byte varint: "), number.cast("string"))).cast("string")
+    return F.when(number.isNull() | number.between(0, 63), F.chr(number * 2)).otherwise(told)
 
 
 def micros_varint(ts: Column) -> Column:

@@ -22,6 +22,11 @@ def marker_path(root: str, snapshot_id: str) -> str:
     return f"{root.rstrip('/')}/published/{snapshot_id}.json"
 
 
+def rejected_path(root: str, snapshot_id: str) -> str:
+    """Errors of a snapshot; an empty table for a published one."""
+    return f"{root.rstrip('/')}/rejected/{snapshot_id}"
+
+
 def publish(
     df: DataFrame,
     root: str,
@@ -29,20 +34,20 @@ def publish(
     snapshot_at: str,
     spec: ops.SnapshotSpec,
     expected_count: int | None = None,
-    shown: int = 20,
+    ordered: bool = False,
 ) -> bool:
     """Stores a complete extract and publishes it when it has no errors.
 
-    The data is written once and checked from the stored copy. A failed snapshot has no
-    marker, so the one before stays active. Only a few error texts reach the driver.
+    ``ordered`` also refuses files whose rows are not in key order. The data is written once and checked from the stored copy. A failed snapshot has no
+    marker, so the one before stays active; all its errors are stored under ``rejected``.
     """
     spark = df.sparkSession
     target = data_path(root, snapshot_id)
     df.select(*spec.columns).write.mode("errorifexists").parquet(target)
     stored = spark.read.schema(spec.schema).parquet(target)
-    errors = [r.code for r in ops.snapshot_errors(stored, spec, expected_count, snapshot_at).limit(shown).collect()]
-    if errors:
-        store.create_json(spark, f"{root.rstrip('/')}/rejected/{snapshot_id}.json", {"errors": sorted(errors)})
+    rejected = rejected_path(root, snapshot_id)
+    ops.snapshot_errors(stored, spec, expected_count, snapshot_at, ordered).write.mode("errorifexists").parquet(rejected)
+    if not spark.read.schema("code STRING").parquet(rejected).isEmpty():
         return False
     marker = {
         "snapshot_id": snapshot_id,

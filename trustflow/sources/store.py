@@ -23,6 +23,13 @@ def make_dirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, without those that start with a dot or an underscore."""
+    fs, p = _fs(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return [n for n in names if n[0] not in "._"]
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     stream = fs.open(p)

@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trustflow.contract import Contract
 from trustflow.operators import classify as ops
-from trustflow.streaming.ingest import with_trigger
+from trustflow.streaming import binding
+from trustflow.streaming.ingest import paced
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, app_id: str, fmt: str = "parquet") -> None:
@@ -43,12 +44,17 @@ def batch_handler(
     contract: Contract,
     processed_at: Column | None = None,
     fmt: str = "parquet",
+    views: str | None = None,
 ):
+    """``views`` is a prefix for the valid and quarantine views, kept current by every batch."""
+
     def process(batch: DataFrame, batch_id: int) -> None:
         catalog = ops.resolve_schemas(batch, lookup)
         write_batch(
             ops.classify(batch, catalog, contract, processed_at), path, batch_id, app_id, fmt
         )
+        if views is not None:
+            ops.register_views(f"{fmt}.`{path}`", batch.sparkSession, contract, views)
 
     return process
 
@@ -61,14 +67,21 @@ def start_classify(
     lookup: Callable[[int], str | None],
     contract: Contract,
     processed_at: Column | None = None,
-    mode: str = "available_now",
+    cadence: str = "drain",
     fmt: str = "parquet",
+    views: str | None = None,
+    registry: str | None = None,
+    source: str = "",
 ) -> StreamingQuery:
     if not checkpoint or not app_id or checkpoint.rstrip("/") == path.rstrip("/"):
         raise ValueError("A separate checkpoint and a stable app id are required")
+    if registry:
+        binding.claim(
+            raw_stream.sparkSession, registry, checkpoint, binding.Claim(app_id, source, path, contract.rule_version)
+        )
     writer = (
         raw_stream.writeStream.option("checkpointLocation", checkpoint)
         .queryName("classify_" + app_id)
-        .foreachBatch(batch_handler(path, app_id, lookup, contract, processed_at, fmt))
+        .foreachBatch(batch_handler(path, app_id, lookup, contract, processed_at, fmt, views))
     )
-    return with_trigger(writer, mode).start()
+    return paced(writer, cadence).start()

@@ -10,8 +10,9 @@ from trustflow.operators import dedup as ops
 from trustflow.operators.enrich import enrich
 from trustflow.operators.snapshot import SnapshotSpec
 from trustflow.sources import snapshots, store
+from trustflow.streaming import binding
 from trustflow.streaming.classify import write_batch
-from trustflow.streaming.ingest import state_partitions, with_trigger
+from trustflow.streaming.ingest import paced, state_partitions
 
 LATENESS = "30 minutes"
 
@@ -61,10 +62,14 @@ def start_dedup_merge(
     checkpoint: str,
     app_id: str,
     lateness: str = LATENESS,
-    mode: str = "available_now",
+    cadence: str = "drain",
     fmt: str = "parquet",
     partitions: int | None = None,
+    registry: str | None = None,
+    source: str = "",
 ) -> StreamingQuery:
+    if registry:
+        binding.claim(valid_stream.sparkSession, registry, checkpoint, binding.Claim(app_id, source, path))
     writer = (
         deduplicated(valid_stream, lateness)
         .writeStream.option("checkpointLocation", checkpoint)
@@ -72,7 +77,7 @@ def start_dedup_merge(
         .foreachBatch(merge_handler(path, app_id, fmt=fmt))
     )
     with state_partitions(valid_stream.sparkSession, partitions):
-        return with_trigger(writer, mode).start()
+        return paced(writer, cadence).start()
 
 
 def enrich_handler(path: str, app_id: str, snapshot_root: str, spec: SnapshotSpec, fmt: str = "parquet"):
@@ -96,11 +101,11 @@ def start_enrich(
     app_id: str,
     snapshot_root: str,
     spec: SnapshotSpec,
-    mode: str = "available_now",
+    cadence: str = "drain",
 ) -> StreamingQuery:
     writer = (
         events_stream.writeStream.option("checkpointLocation", checkpoint)
         .queryName("enrich_" + app_id)
         .foreachBatch(enrich_handler(path, app_id, snapshot_root, spec))
     )
-    return with_trigger(writer, mode).start()
+    return paced(writer, cadence).start()

@@ -1,21 +1,25 @@
-"""Progress of streaming queries as rows."""
+"""Progress of streaming queries as a table."""
 
 from __future__ import annotations
 
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
+
+from trustflow.sources import store
 
 PROGRESS_DDL = (
     "query_id STRING, run_id STRING, name STRING, batch_id BIGINT, input_rows BIGINT, "
     "start_offset STRING, end_offset STRING, watermark STRING, dropped_by_watermark BIGINT"
 )
+NAMES = tuple(c.split()[0] for c in PROGRESS_DDL.split(", "))
 
 
-def _row(p: dict) -> tuple:
+def _row(p: dict) -> dict:
     sources = p.get("sources", [])
-    return (
+    values = (
         str(p["id"]),
         str(p["runId"]),
         p.get("name"),
@@ -26,13 +30,47 @@ def _row(p: dict) -> tuple:
         p.get("eventTime", {}).get("watermark"),
         sum(s.get("numRowsDroppedByWatermark", 0) for s in p.get("stateOperators", [])),
     )
+    return dict(zip(NAMES, values, strict=True))
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends every progress report to an ops folder, one small file each, named by run and report.
+
+    A query itself keeps its last reports only; sums over a long run come from here.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.count = spark, path.rstrip("/"), 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
 
+    def onQueryProgress(self, event) -> None:
+        row = _row(json.loads(event.progress.json))
+        self.count += 1
+        store.create_text(self.spark, f"{self.path}/{row['run_id']}-{self.count:09d}.json", json.dumps(row) + "\n")
 
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The retained progress reports of a query (a bounded list) as a frame."""
-    rows = [_row(json.loads(p.json)) for p in query.recentProgress]
-    return spark.createDataFrame(rows, PROGRESS_DDL)
+    def onQueryIdle(self, event) -> None:
+        pass
 
+    def onQueryTerminated(self, event) -> None:
+        pass
 
-def dropped_by_watermark(query: StreamingQuery) -> int:
-    return sum(_row(json.loads(p.json))[-1] for p in query.recentProgress)
+
+def start_log(spark: SparkSession, path: str) -> ProgressLog:
+    """From now on all queries of the session are logged; ``spark.streams.removeListener`` ends it."""
+    store.make_dirs(spark, path)
+    log = ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    return log
+
+
+def progress_rows(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(PROGRESS_DDL).json(path)
+
+
+def dropped_by_watermark(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that each query's watermark dropped, over all its runs and batches."""
+    return progress_rows(spark, path).groupBy("query_id", "name").agg(
+        F.sum("dropped_by_watermark").alias("dropped_by_watermark"), F.count("*").alias("reports")
+    )
