@@ -100,8 +100,11 @@ def test_appointment_outcomes_at_the_deadline(spark):
         return {r.appointment_id: r.status for r in fact.collect()}
 
     # Completed early, but observing until the deadline itself.
-    assert status("2025-01-03 09:59:59.999999") == {"done": "observing", "late": "observing"}
-    assert status("2025-01-03 10:00:00") == {"done": "completed", "late": "incomplete"}
+    assert status("2025-01-03 09:59:59.999999") == dict.fromkeys(("done", "late", "orphan"), "observing")
+    assert status("2025-01-03 10:00:00") == {"done": "completed", "late": "incomplete", "orphan": "completed"}
+    fact = facts.appointment_fact(df, F.lit("2025-02-01").cast("timestamp"))
+    assert [r.appointment_id for r in fact.where("incomplete_instrumentation").collect()] == ["orphan"]
+    assert marts.visit_cohort(fact, []).first().booked == 2
 
 
 def test_started_completion_counts_a_day_from_the_start(spark):

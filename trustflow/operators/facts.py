@@ -138,7 +138,11 @@ def journey_fact(events: DataFrame, spec: JourneySpec | None = None, dimensions=
 def appointment_fact(
     events: DataFrame, as_of: Column, spec: AppointmentSpec | None = None
 ) -> DataFrame:
-    """Outcome per booked appointment; dimensions come from the first booking event."""
+    """Outcome per appointment; dimensions come from the first booking event.
+
+    An appointment whose visit events came without a booking is kept as incomplete instrumentation:
+    its booking columns are NULL, its schedule is that of its other events.
+    """
     spec = spec or AppointmentSpec()
     dims = list(spec.dimensions)
     rows = events.where(F.col(spec.key).isNotNull())
@@ -157,9 +161,13 @@ def appointment_fact(
         F.min(_at(spec, spec.started)).alias("started_at"),
         F.min(_at(spec, spec.completed)).alias("completed_at"),
         F.count_if(F.col("event_name") == spec.failed).alias("connection_failures"),
+        F.min(spec.scheduled).alias("_scheduled"),
+    )
+    joined = visits.join(booking, spec.key, "left").withColumn(
+        spec.scheduled, F.coalesce(spec.scheduled, "_scheduled")
     )
     deadline = F.col(spec.scheduled) + seconds(spec.window_seconds)
-    fact = booking.join(visits, spec.key).select(
+    fact = joined.select(
         spec.key,
         "customer_id",
         "booking_journey_id",
@@ -168,7 +176,8 @@ def appointment_fact(
         deadline.alias("observation_deadline"),
         "started_at",
         "completed_at",
-        (as_of >= deadline).alias("mature"),
+        F.coalesce(as_of >= deadline, F.lit(False)).alias("mature"),
+        F.col("booked_at").isNull().alias("incomplete_instrumentation"),
         F.col("started_at").isNotNull().alias("started"),
         (F.col("completed_at") <= deadline).alias("_in_window"),
         "connection_failures",

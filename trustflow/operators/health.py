@@ -80,15 +80,18 @@ def gold_latency(valid: DataFrame, publishes: DataFrame, buckets: str = "1 day")
     """Seconds from collection to the first publish that could contain the event.
 
     ``publishes`` holds one row per run: its time and the ingestion boundary it covered.
-    An event belongs to the first run whose boundary passes its ingestion time; with one
-    run per bucket that run is found by an equi-join instead of a range join.
+    An event belongs to the first run whose boundary reaches the end of its bucket, however many
+    publishes were missed in between; without such a run its publish time is NULL. The run is looked
+    up once per bucket, and events join to the buckets.
     """
-    slot = F.window("ingested_at", buckets)["end"]
-    return (
-        valid.withColumn("covered_until", slot)
-        .join(publishes, "covered_until")
-        .select("received_at", "published_at")
-    )
+    rows = valid.withColumn("covered_until", F.window("ingested_at", buckets)["end"])
+    runs = publishes.groupBy("covered_until").agg(F.min("published_at").alias("_run"))
+    ends = rows.select("covered_until").union(runs.select("covered_until")).distinct()
+    # One row per bucket of the time range from here on.
+    onward = Window.orderBy("covered_until").rowsBetween(0, Window.unboundedFollowing)
+    first = F.first("_run", ignorenulls=True).over(onward)
+    found = ends.join(runs, "covered_until", "left").select("covered_until", first.alias("published_at"))
+    return rows.join(found, "covered_until", "left").select("received_at", "published_at")
 
 
 def freshness(df: DataFrame, at: str, as_of: Column, heartbeat: str | None = None) -> DataFrame:

@@ -30,11 +30,12 @@ def booking_funnel(journeys: DataFrame, dimensions) -> DataFrame:
 
 
 def visit_cohort(appointments: DataFrame, dimensions) -> DataFrame:
+    """Outcomes by booking day; appointments without a booking belong to no cohort."""
     mature = F.col("mature")
     in_day_of_start = F.unix_micros("completed_at") <= F.unix_micros("started_at") + F.lit(
         86_400_000_000
     )
-    return appointments.groupBy("cohort_date", *dimensions).agg(
+    return appointments.where("booked_at IS NOT NULL").groupBy("cohort_date", *dimensions).agg(
         F.count(F.lit(1)).alias("booked"),
         _counted(mature, "mature"),
         _counted(mature & F.col("completed"), "mature_completed"),

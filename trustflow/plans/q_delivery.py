@@ -96,15 +96,15 @@ def coordinate_lookup(spark, sf):
 
 @query(
     "bounded_offset_range",
-    f"WITH {sql.EV}, b AS (SELECT max(off) AS latest FROM ev) SELECT part AS partition, "
-    "count(*) AS deliveries, CAST(min(off) AS BIGINT) AS first_offset, "
-    "CAST(max(off) AS BIGINT) AS last_offset FROM ev, b WHERE off >= 10 AND off < latest GROUP BY part",
+    f"WITH {sql.EV} SELECT part AS partition, count(*) AS deliveries, CAST(min(off) AS BIGINT) AS first_offset, "
+    "CAST(max(off) AS BIGINT) AS last_offset FROM ev WHERE off >= 10 + part GROUP BY part",
 )
 def bounded_offset_range(spark, sf):
+    """Each partition from its own start to its own end, the last delivery included."""
     raw = fx.deliveries(spark, sf)
-    latest = raw.agg(F.max("offset").alias("o")).first().o
+    ends = raw.groupBy("partition").agg((F.max("offset") + 1).alias("end")).collect()  # a row per partition
     return (
-        bronze.offset_range(raw, 10, latest)
+        bronze.offset_ranges(raw, {r.partition: (10 + r.partition, r.end) for r in ends})
         .groupBy("partition")
         .agg(
             F.count(F.lit(1)).alias("deliveries"),

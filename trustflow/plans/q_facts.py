@@ -282,6 +282,27 @@ def fct_appointment(spark, sf):
     )
 
 
+@query(
+    "metric_incomplete_appointments",
+    f"WITH {sql.APPOINTMENTS}, k AS (SELECT *, o_orderkey % 7 = 3 AS lost, scenario IN (0, 1, 3) "
+    "AND scheduled + INTERVAL 2 SECOND <= as_of AS visited FROM appts) SELECT count(*) FILTER (lost AND visited) "
+    "AS incomplete, count(*) FILTER (NOT lost OR visited) AS entities, count(*) FILTER (lost AND visited AND mature) "
+    "AS incomplete_mature, " + _rate("count(*) FILTER (lost AND visited)", "count(*) FILTER (NOT lost OR visited)", "rate")
+    + " FROM k",
+)
+def metric_incomplete_appointments(spark, sf):
+    """Appointments whose booking event never came, a seventh of them here."""
+    events = facts.visible(fx.appointment_events(spark, sf), as_of())
+    lost = F.col("appointment_id").cast("bigint") % 7 == 3
+    fact = facts.appointment_fact(events.where(~(lost & (F.col("event_name") == "appointment_booked"))), as_of())
+    counts = fact.agg(
+        F.count_if("incomplete_instrumentation").alias("incomplete"),
+        F.count(F.lit(1)).alias("entities"),
+        F.count_if(F.col("incomplete_instrumentation") & F.col("mature")).alias("incomplete_mature"),
+    )
+    return _rounded(counts.withColumn("rate", marts.ratio("incomplete", "entities")), "rate")
+
+
 _MATURITY = (
     "count(*) FILTER (mature) AS mature, count(*) FILTER (mature AND completed) AS mature_completed, "
     "count(*) FILTER (NOT mature) AS observing"

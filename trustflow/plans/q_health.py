@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from trustflow.operators import health
 from trustflow.plans import fixture_sql as sql
 from trustflow.plans import fixtures as fx
+from trustflow.plans.q_snapshot import SPEC
 from trustflow.plans.registry import query
+from trustflow.session import scratch_dir
+from trustflow.sources import snapshots
 
 CLOSED = "2024-01-30 00:00:00"
 _WINDOW = "time_bucket(INTERVAL 5 MINUTE, ingested_at)"
@@ -75,24 +78,30 @@ def silver_latency(spark, sf):
     return _rounded(profile, "p50", "p95", "max")
 
 
+_RUN_DAY = "day(covered_until) % 3 <> 1 AND covered_until < TIMESTAMP '2024-01-29 00:00:00'"
+
+
 @query(
     "gold_latency",
-    f"WITH {sql.VALID}, p AS (SELECT received_at, date_trunc('day', ingested_at) "
-    "+ INTERVAL 1 DAY + INTERVAL 120 SECOND AS published_at FROM valid) "
-    + _profile_sql("published_at", "received_at", "p"),
+    f"WITH {sql.VALID}, e AS (SELECT received_at, date_trunc('day', ingested_at) + INTERVAL 1 DAY AS slot "
+    "FROM valid), r AS (SELECT DISTINCT date_trunc('day', ingested_at) + INTERVAL 1 DAY AS covered_until "
+    f"FROM ev), k AS (SELECT * FROM r WHERE {_RUN_DAY}), n AS (SELECT slot, min(covered_until) "
+    "+ INTERVAL 120 SECOND AS published_at FROM (SELECT DISTINCT slot FROM e) LEFT JOIN k ON covered_until >= slot "
+    "GROUP BY slot), p AS (SELECT received_at, published_at FROM e JOIN n USING (slot)), q AS ("
+    + _profile_sql("published_at", "received_at", "(SELECT * FROM p WHERE published_at IS NOT NULL) AS q0")
+    + ") SELECT *, (SELECT count(*) FROM p WHERE published_at IS NULL) AS unpublished FROM q",
 )
 def gold_latency(spark, sf):
-    """One publish two minutes after each closed day of ingestion."""
+    """Publishes two minutes after a day of ingestion, with every third day missed and none at the end."""
     valid = fx.valid(spark, sf)
-    days = fx.deliveries(spark, sf).select(
-        F.window("ingested_at", "1 day")["end"].alias("covered_until")
-    )
-    runs = days.distinct().withColumn(
+    days = fx.deliveries(spark, sf).select(F.window("ingested_at", "1 day")["end"].alias("covered_until"))
+    runs = days.distinct().where(_RUN_DAY).withColumn(
         "published_at", F.col("covered_until") + F.expr("INTERVAL 120 SECONDS")
     )
     covered = health.gold_latency(valid, runs)
     profile = health.latency_profile(covered, "published_at", "received_at")
-    return _rounded(profile, "p50", "p95", "max")
+    waiting = covered.agg(F.count_if(F.col("published_at").isNull()).alias("unpublished"))
+    return _rounded(profile, "p50", "p95", "max").crossJoin(waiting)  # one row each
 
 
 @query(
@@ -116,15 +125,23 @@ def event_freshness(spark, sf):
 
 @query(
     "customer_freshness",
-    f"WITH {sql.SNAPSHOTS} SELECT epoch_us(max(updated_at)) AS newest_us, round((epoch_us(TIMESTAMP "
-    "'2024-01-02 00:30:00') - epoch_us(max(updated_at))) / 1000000.0, 6)::DOUBLE AS age_seconds FROM v2",
+    f"WITH {sql.SNAPSHOTS} SELECT epoch_us(TIMESTAMP '2024-01-02 00:10:00') AS newest_us, 1200.0::DOUBLE AS age_seconds, "
+    "count(*) AS snapshot_rows FROM v2",
 )
 def customer_freshness(spark, sf):
-    now = F.lit("2024-01-02 00:30:00").cast("timestamp")
-    rows = health.freshness(fx.snapshot_v2(spark, sf), "updated_at", now)
-    return rows.select(
+    """Age of the newest published extraction. It is later than any row's update, and a later
+    extraction that the gate refused does not count."""
+    root = scratch_dir(spark, "freshness")
+    v1, v2 = fx.snapshot_v1(spark, sf), fx.snapshot_v2(spark, sf)
+    snapshots.publish(v1, root, "v1", "2024-01-01 00:00:00", SPEC)
+    snapshots.publish(v2, root, "v2", "2024-01-02 00:10:00", SPEC)
+    snapshots.publish(v2.withColumn("region", F.lit(None).cast("string")), root, "v3", "2024-01-02 00:20:00", SPEC)
+    marks = snapshots.published(spark, root)
+    age = health.freshness(marks, "snapshot_at", F.lit("2024-01-02 00:30:00").cast("timestamp"))
+    rows = marks.agg(F.max_by("row_count", "snapshot_at").alias("snapshot_rows"))
+    return age.select(
         F.unix_micros("newest").alias("newest_us"), F.round("age_seconds", 6).alias("age_seconds")
-    )
+    ).crossJoin(rows)  # one row each
 
 
 @query(

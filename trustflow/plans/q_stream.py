@@ -34,6 +34,21 @@ def topic_files(spark, sf, path, rows=None):
     return math.ceil(files / BATCHES)
 
 
+def topic_in_order(spark, sf, path):
+    """Deliveries written slice after slice in send order, so that each slice is one micro-batch and the
+    batches come in that order. Returns the files of a slice."""
+    rows = fx.raw(spark, sf).withColumn("_sent", F.unix_micros("timestamp"))
+    shares = [i / BATCHES for i in range(1, BATCHES)]
+    bounds = rows.agg(F.percentile_approx("_sent", shares)).first()[0]
+    files = max(1, spark.sparkContext.defaultParallelism // BATCHES)
+    for low, high in zip([None, *bounds], [*bounds, None], strict=True):
+        inside = F.lit(True) if low is None else F.col("_sent") > low
+        if high is not None:
+            inside = inside & (F.col("_sent") <= high)
+        rows.where(inside).drop("_sent").repartition(files).write.mode("append").parquet(path)
+    return files
+
+
 def run_ingest(spark, source, target, checkpoint, per_trigger=None):
     stream = kafka.delivery_file_stream(spark, source, per_trigger)
     started = ingest.start_ingest(stream, ingest.RawSink(path=target), checkpoint, arrival=ingest_time())
@@ -149,7 +164,7 @@ def stream_dedup(spark, sf):
 
 
 def _merged(spark, sf, root):
-    per_trigger = topic_files(spark, sf, f"{root}/topic")
+    per_trigger = topic_in_order(spark, sf, f"{root}/topic")
     stream = valid_stream(spark, f"{root}/topic", per_trigger)
     started = dedup_stream.start_dedup_merge(
         stream,
@@ -162,35 +177,55 @@ def _merged(spark, sf, root):
     return spark.read.parquet(f"{root}/events").drop("batch_id")
 
 
+# A row that was sent within the lateness of its event cannot be late in any batching: batches
+# follow the send order, and no event before it can carry a later time than its own sending.
+_PUNCTUAL = "count(*) FILTER (epoch_us(send_at) - epoch_us(event_time) <= 1800000000) AS punctual_stored"
+
+
+def _punctual(spark, sf):
+    sent = F.unix_micros("ingested_at") - 5_000_000
+    return fx.unique_events(spark, sf).where(sent - F.unix_micros("event_time") <= 1_800_000_000)
+
+
 @query(
     "stream_dedup_merge",
-    f"WITH {sql.UNIQUE} SELECT 0::BIGINT AS repeated_ids, 0::BIGINT AS unknown_ids, "
-    "count(*) AS expected FROM uniq",
+    f"WITH {sql.UNIQUE} SELECT event_name, {_PUNCTUAL}, 0::BIGINT AS repeated_ids, 0::BIGINT AS unknown_ids "
+    "FROM uniq GROUP BY event_name",
 )
 def stream_dedup_merge(spark, sf):
-    """Several micro-batches: which late rows drop depends on the batches, but no id repeats and
-    none is foreign."""
+    """Several micro-batches: every event that cannot be late is stored, no id repeats, none is foreign."""
     durable = _merged(spark, sf, scratch_dir(spark, "merge"))
-    have = durable.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
-    want = fx.unique_events(spark, sf).select("event_id").withColumn("w", F.lit(True))
-    both = want.join(have, "event_id", "full_outer")
-    return both.agg(
+    have = durable.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"), F.min("event_name").alias("stored_as"))
+    want = fx.unique_events(spark, sf).select("event_id", "event_name")
+    punctual = _punctual(spark, sf).select("event_id", F.lit(True).alias("in_time"))
+    both = want.join(punctual, "event_id", "left").join(have, "event_id", "full_outer")
+    return both.groupBy(F.coalesce("event_name", "stored_as").alias("event_name")).agg(
+        F.count_if(F.col("in_time") & F.col("n").isNotNull()).alias("punctual_stored"),
         F.count_if(F.col("n") > 1).alias("repeated_ids"),
-        F.count_if(F.col("w").isNull()).alias("unknown_ids"),
-        F.count("w").alias("expected"),
+        F.count_if(both["event_name"].isNull()).alias("unknown_ids"),
     )
 
 
 @query(
     "late_recovery",
-    f"WITH {sql.UNIQUE} SELECT event_name, count(*) AS events FROM uniq GROUP BY event_name",
+    f"WITH {sql.UNIQUE} SELECT event_name, count(*) AS events, {_PUNCTUAL}, 0::BIGINT AS in_both "
+    "FROM uniq GROUP BY event_name",
 )
 def late_recovery(spark, sf):
-    """What the watermark dropped comes back by reconciliation with the stored valid deliveries."""
+    """What the watermark dropped comes back by reconciliation with the stored valid deliveries; what it
+    did not drop was stored before."""
     durable = _merged(spark, sf, scratch_dir(spark, "late"))
     lost = dedup.first_delivery(reconcile.missing_events(fx.valid(spark, sf), durable))
-    names = durable.select("event_id", "event_name").unionByName(lost.select("event_id", "event_name"))
-    return names.groupBy("event_name").agg(F.count(F.lit(1)).alias("events"))
+    sides = durable.select("event_id", "event_name", F.lit(1).alias("stored")).unionByName(
+        lost.select("event_id", "event_name", F.lit(0).alias("stored"))
+    )
+    per_id = sides.groupBy("event_id", "event_name").agg(F.max("stored").alias("stored"), F.count(F.lit(1)).alias("n"))
+    punctual = _punctual(spark, sf).select("event_id", F.lit(True).alias("in_time"))
+    return per_id.join(punctual, "event_id", "left").groupBy("event_name").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(F.col("in_time") & (F.col("stored") == 1)).alias("punctual_stored"),
+        F.count_if(F.col("n") > 1).alias("in_both"),
+    )
 
 
 _STATUS = (
