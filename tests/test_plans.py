@@ -7,6 +7,7 @@ from contextlib import redirect_stdout
 from pyspark.sql import functions as F
 
 from trustflow.operators import classify, dedup, facts, reconcile, rules
+from trustflow.plans import catalog
 from trustflow.plans import fixtures as fx
 
 
@@ -37,7 +38,15 @@ def test_filters_on_the_outcome_do_not_decode_twice(spark, sf_dir):
     assert decodes(plan(flat.where("event_name = 'booking_started'"))) == 1
 
 
-def test_ingestion_window_passes_the_decoder(spark, sf_dir):
+def test_closed_ranges_prune_the_classified_table(spark, sf_dir):
+    for name in ("recon_missing_events", "recon_ingest_window", "throughput_5min", "invalid_rate"):
+        text = plan(catalog.QUERIES[name](spark, sf_dir))
+        assert re.search(r"PartitionFilters: \[[^\]]*ingest_date", text), name
+        assert decodes(text) == 0, name
+    assert decodes(plan(catalog.QUERIES["view_disjointness"](spark, sf_dir))) == 0
+
+
+def test_delivery_filter_passes_the_decoder(spark, sf_dir):
     window = fx.valid(spark, sf_dir).where("partition = 2")
     text = plan(window)
     assert decodes(text) == 1 and "EqualTo(partition,2)" in text
@@ -56,7 +65,8 @@ def test_coordinate_filter_reaches_the_scan(spark, sf_dir):
 def test_rules_run_without_python(spark, sf_dir):
     checked = fx.ev(spark, sf_dir).select(rules.codes(fx.CONTRACT).alias("c"))
     text = plan(checked)
-    assert "Python" not in text and "hashpartitioning" not in text
+    # The one exchange is the fixture's own spreading of the given file.
+    assert "Python" not in text and text.count("hashpartitioning") == text.count("REPARTITION_BY_COL")
 
 
 def test_dedup_limits_groups_before_the_shuffle(spark, sf_dir):

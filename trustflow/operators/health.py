@@ -13,7 +13,14 @@ PERCENTILES = {"p50": 0.5, "p95": 0.95}
 
 
 def closed_windows(df: DataFrame, as_of: Column, at: str = "ingested_at", size: str = WINDOW) -> DataFrame:
-    """Adds the window start; rows of windows still open at the boundary are left out."""
+    """Adds the window start; rows of windows still open at the boundary are left out.
+
+    The boundary holds for the time itself too, which reaches the scan, and for the partitions of a
+    table by ``ingest_date``.
+    """
+    df = df.where(F.col(at) < as_of)
+    if at == "ingested_at" and "ingest_date" in df.columns:
+        df = df.where(F.col("ingest_date") <= F.to_date(as_of))
     w = F.window(at, size)
     return df.withColumn("_w", w).where(F.col("_w.end") <= as_of).select(
         *df.columns, F.col("_w.start").alias("window_start")

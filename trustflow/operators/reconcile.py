@@ -11,8 +11,12 @@ from trustflow.functions.canonical import row_text
 
 
 def ingested_between(df: DataFrame, start, end) -> DataFrame:
-    """Deliveries by ingestion time, start inclusive and end exclusive; reaches the scan."""
+    """Deliveries by ingestion time, start inclusive and end exclusive. A table that is partitioned by
+    ``ingest_date`` is read for the days of the window only."""
     at = F.col("ingested_at")
+    if "ingest_date" in df.columns:
+        first, last = (F.to_date(F.lit(t).cast("timestamp")) for t in (start, end))
+        df = df.where(F.col("ingest_date").between(first, last))
     return df.where((at >= F.lit(start).cast("timestamp")) & (at < F.lit(end).cast("timestamp")))
 
 

@@ -86,7 +86,7 @@ def derive_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STAGED: dict[tuple[str, str, str], str] = {}
 
 
-def staged(spark: SparkSession, sf_dir: str, name: str, derive) -> str:
+def staged(spark: SparkSession, sf_dir: str, name: str, derive, by: tuple[str, ...] = ()) -> str:
     """Path of a derived table, written once per application to the shared folder.
 
     It stands for a table that the pipeline keeps. Queries on it see a real scan: filters
@@ -95,7 +95,7 @@ def staged(spark: SparkSession, sf_dir: str, name: str, derive) -> str:
     at = (spark.sparkContext.applicationId, sf_dir, name)
     if at not in _STAGED:
         path = scratch_dir(spark, name)
-        derive(spark, sf_dir).write.parquet(path)
+        derive(spark, sf_dir).write.partitionBy(*by).parquet(path)
         _STAGED[at] = path
     return _STAGED[at]
 
@@ -143,9 +143,22 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.valid_view(classified(spark, sf_dir), CONTRACT)
 
 
+def derive_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classified(spark, sf_dir).withColumn("ingest_date", F.to_date("ingested_at"))
+
+
+def kept_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored classified table, partitioned by ingestion date: what the classification job keeps."""
+    return spark.read.parquet(staged(tune(spark), sf_dir, "classified", derive_classified, ("ingest_date",)))
+
+
+def kept_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.valid_view(kept_classified(spark, sf_dir), CONTRACT)
+
+
 def derive_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unique valid events, from the delivery bytes on."""
-    return dedup.first_delivery(valid(spark, sf_dir))
+    """Unique valid events of the classified table."""
+    return dedup.first_delivery(kept_valid(spark, sf_dir))
 
 
 def unique_path(spark: SparkSession, sf_dir: str) -> str:

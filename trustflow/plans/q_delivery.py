@@ -285,7 +285,8 @@ def as_of_cutoff(spark, sf):
     "AND ingested_at < TIMESTAMP '2024-01-12 00:00:00' GROUP BY 1",
 )
 def recon_ingest_window(spark, sf):
-    rows = reconcile.ingested_between(fx.valid(spark, sf), "2024-01-10", "2024-01-12")
+    rows = reconcile.ingested_between(fx.kept_classified(spark, sf), "2024-01-10", "2024-01-12")
+    rows = classify.valid_view(rows, fx.CONTRACT)
     return rows.groupBy(F.to_date("event_time").cast("string").alias("event_date")).agg(
         F.count(F.lit(1)).alias("deliveries")
     )
@@ -344,7 +345,7 @@ def distinct_schema_ids(spark, sf):
     "AS missing_customer, count(*) AS valid FROM valid",
 )
 def valid_but_imperfect(spark, sf):
-    rows = enrich.enrich(fx.valid(spark, sf), fx.snapshot_v1(spark, sf), "v1")
+    rows = enrich.enrich(fx.kept_valid(spark, sf), fx.snapshot_v1(spark, sf), "v1")
     late = F.unix_micros("received_at") - F.unix_micros("event_time") > 1_800_000_000
     lost = F.col("customer_match_status") == enrich.NOT_FOUND
     per_id = rows.groupBy("event_id").agg(
@@ -363,6 +364,6 @@ def valid_but_imperfect(spark, sf):
     f"WITH {sql.UNIQUE} SELECT event_id, raw_record_id, epoch_us(ingested_at) AS ingested_us FROM uniq",
 )
 def batch_dedup(spark, sf):
-    return dedup.first_delivery(fx.valid(spark, sf)).select(
+    return dedup.first_delivery(fx.kept_valid(spark, sf)).select(
         "event_id", "raw_record_id", F.unix_micros("ingested_at").alias("ingested_us")
     )

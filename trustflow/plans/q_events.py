@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from trustflow.functions import ids
 from trustflow.functions.times import format_utc, seconds_between
-from trustflow.operators import dedup, enrich, evidence, facts, ordering, reconcile, snapshot
+from trustflow.operators import classify, dedup, enrich, evidence, facts, ordering, reconcile, snapshot
 from trustflow.plans import fixture_sql as sql
 from trustflow.plans import fixtures as fx
 from trustflow.plans.q_delivery import event_columns
@@ -33,7 +33,7 @@ def durable_events(spark, sf):
     "WHERE event_id NOT IN (SELECT event_id FROM durable)",
 )
 def insert_only_merge(spark, sf):
-    inserted = dedup.insert_only(durable_events(spark, sf), fx.valid(spark, sf))
+    inserted = dedup.insert_only(durable_events(spark, sf), fx.kept_valid(spark, sf))
     return inserted.select("event_id", "raw_record_id")
 
 
@@ -44,7 +44,8 @@ def insert_only_merge(spark, sf):
     "AND event_id NOT IN (SELECT event_id FROM durable)",
 )
 def recon_missing_events(spark, sf):
-    recent = reconcile.ingested_between(fx.valid(spark, sf), "2024-01-05", "2024-01-25")
+    recent = reconcile.ingested_between(fx.kept_classified(spark, sf), "2024-01-05", "2024-01-25")
+    recent = classify.valid_view(recent, fx.CONTRACT)
     return reconcile.missing_events(recent, durable_events(spark, sf)).select(
         "event_id", "raw_record_id"
     )
@@ -57,7 +58,7 @@ def recon_missing_events(spark, sf):
     "(SELECT count(*) FROM uniq) - count(*) AS missing, 0::BIGINT AS unexpected FROM durable",
 )
 def recon_gap(spark, sf):
-    return reconcile.gap(fx.valid(spark, sf), durable_events(spark, sf))
+    return reconcile.gap(fx.kept_valid(spark, sf), durable_events(spark, sf))
 
 
 @query(
@@ -83,7 +84,7 @@ _STATUS = (
 )
 def enrich_customers(spark, sf):
     joined = enrich.enrich(
-        fx.valid(spark, sf), fx.snapshot_v1(spark, sf), "v1", row_id="raw_record_id"
+        fx.kept_valid(spark, sf), fx.snapshot_v1(spark, sf), "v1", row_id="raw_record_id"
     )
     return joined.select(
         "raw_record_id", "customer_match_status", *enrich.ATTRIBUTES, "customer_snapshot_id"
@@ -122,7 +123,7 @@ _LATER = (
 )
 def repair_missing_customers(spark, sf):
     first = enrich.enrich(
-        fx.valid(spark, sf), fx.snapshot_v1(spark, sf), "v1", row_id="raw_record_id"
+        fx.kept_valid(spark, sf), fx.snapshot_v1(spark, sf), "v1", row_id="raw_record_id"
     )
     repaired = enrich.repair(
         first,
@@ -150,7 +151,7 @@ def repair_missing_customers(spark, sf):
 )
 def not_found_rate(spark, sf):
     joined = enrich.enrich(
-        fx.valid(spark, sf), fx.snapshot_v1(spark, sf), "v1", row_id="raw_record_id"
+        fx.kept_valid(spark, sf), fx.snapshot_v1(spark, sf), "v1", row_id="raw_record_id"
     )
     return enrich.not_found_rate(joined).withColumn("rate", F.round("rate", 6))
 
@@ -260,7 +261,7 @@ _CORRUPT = (
 )
 def delivery_manifest(spark, sf):
     """One row of counts per event first, then the totals, so distinct ids need no second pass."""
-    rows = fx.classified(spark, sf)
+    rows = fx.kept_classified(spark, sf)
     frame_faults = F.arrays_overlap(
         "error_codes",
         F.array(

@@ -157,7 +157,7 @@ def case_compare(spark, sf):
         F.when(code.isNull(), "valid").otherwise("quarantine").alias("route"),
         F.array_compact(F.array(code)).alias("error_codes"),
     )
-    compared = evidence.case_compare(expected, fx.classified(spark, sf))
+    compared = evidence.case_compare(expected, fx.kept_classified(spark, sf))
     return compared.groupBy(
         F.array_join("want_codes", ",").alias("want_codes"), "outcome"
     ).agg(F.count(F.lit(1)).alias("cases"))
@@ -175,7 +175,7 @@ def case_compare(spark, sf):
     "coalesce(sum(copies) FILTER (routed = 'other'), 0)::BIGINT AS invalid_routes FROM r",
 )
 def coverage_audit(spark, sf):
-    routed = faulty_copies(fx.classified(spark, sf))
+    routed = faulty_copies(fx.kept_classified(spark, sf))
     odd = _number() % 50 == 8
     routed = routed.withColumn("route", F.when(odd, "other").otherwise(F.col("route")))
     return evidence.coverage_audit(fx.deliveries(spark, sf), routed)
@@ -187,7 +187,7 @@ def coverage_audit(spark, sf):
     "AS duplicates FROM valid",
 )
 def duplicate_flags(spark, sf):
-    return dedup.repeats(fx.valid(spark, sf))
+    return dedup.repeats(fx.kept_valid(spark, sf))
 
 
 @query(
@@ -196,15 +196,10 @@ def duplicate_flags(spark, sf):
     "count(*) FILTER (route = 'quarantine') AS quarantine_rows, 0::BIGINT AS shared FROM deliveries",
 )
 def view_disjointness(spark, sf):
-    both = fx.classified(spark, sf)
-    good = classify.valid_view(both, fx.CONTRACT).select("raw_record_id")
-    bad = classify.quarantine_view(both).select("raw_record_id")
-
-    tagged = good.withColumn("in_valid", F.lit(1)).unionByName(
-        bad.withColumn("in_valid", F.lit(0))
-    )
-    per_key = tagged.groupBy("raw_record_id").agg(
-        F.sum("in_valid").alias("v"), F.sum(1 - F.col("in_valid")).alias("q")
+    # One pass: each view is a filter on the route, so a key in both has rows of both routes.
+    per_key = fx.kept_classified(spark, sf).groupBy("raw_record_id").agg(
+        F.count_if(F.col("route") == classify.VALID).alias("v"),
+        F.count_if(F.col("route") == classify.QUARANTINE).alias("q"),
     )
     return per_key.agg(
         F.sum("v").alias("valid_rows"),

@@ -27,7 +27,7 @@ def closed_at():
     f"WHERE {_CLOSED} GROUP BY 1",
 )
 def throughput_5min(spark, sf):
-    rows = health.throughput(fx.deliveries(spark, sf), closed_at())
+    rows = health.throughput(fx.kept_classified(spark, sf), closed_at())
     return rows.select(F.unix_micros("window_start").alias("window_us"), "deliveries")
 
 
@@ -51,7 +51,7 @@ def _rounded(df, *names):
     f"WITH {sql.VALID} " + _profile_sql("received_at", "event_time", "valid"),
 )
 def latency_percentiles(spark, sf):
-    profile = health.latency_profile(fx.valid(spark, sf), "received_at", "event_time")
+    profile = health.latency_profile(fx.kept_valid(spark, sf), "received_at", "event_time")
     return _rounded(profile, "p50", "p95", "max")
 
 
@@ -74,7 +74,7 @@ def delivery_latency(spark, sf):
     f"WITH {sql.VALID} " + _profile_sql("processed_at", "received_at", "valid"),
 )
 def silver_latency(spark, sf):
-    profile = health.latency_profile(fx.valid(spark, sf), "processed_at", "received_at")
+    profile = health.latency_profile(fx.kept_valid(spark, sf), "processed_at", "received_at")
     return _rounded(profile, "p50", "p95", "max")
 
 
@@ -93,7 +93,7 @@ _RUN_DAY = "day(covered_until) % 3 <> 1 AND covered_until < TIMESTAMP '2024-01-2
 )
 def gold_latency(spark, sf):
     """Publishes two minutes after a day of ingestion, with every third day missed and none at the end."""
-    valid = fx.valid(spark, sf)
+    valid = fx.kept_valid(spark, sf)
     days = fx.deliveries(spark, sf).select(F.window("ingested_at", "1 day")["end"].alias("covered_until"))
     runs = days.distinct().where(_RUN_DAY).withColumn(
         "published_at", F.col("covered_until") + F.expr("INTERVAL 120 SECONDS")
@@ -113,7 +113,7 @@ def gold_latency(spark, sf):
 def event_freshness(spark, sf):
     now = F.lit("2024-02-01").cast("timestamp")
     # One scan: the heartbeat looks at every delivery, the event time at valid ones only.
-    rows = fx.classified(spark, sf).select(
+    rows = fx.kept_classified(spark, sf).select(
         "ingested_at", F.when(F.col("route") == "valid", F.col("event.event_time")).alias("event_time")
     )
     return health.freshness(rows, "event_time", now, heartbeat="ingested_at").select(
@@ -154,7 +154,7 @@ def customer_freshness(spark, sf):
     "round(count(*) FILTER (seen > 1) / count(*)::DOUBLE, 6) AS rate FROM p GROUP BY w",
 )
 def duplicate_rate(spark, sf):
-    parseable = fx.classified(spark, sf).where("event IS NOT NULL").select(
+    parseable = fx.kept_classified(spark, sf).where("event IS NOT NULL").select(
         "ingested_at", F.col("event.event_id").alias("event_id")
     )
     rates = health.duplicate_rate(health.closed_windows(parseable, closed_at()))
@@ -175,7 +175,7 @@ def duplicate_rate(spark, sf):
 )
 def invalid_rate(spark, sf):
     rows = health.closed_windows(
-        fx.classified(spark, sf).select("ingested_at", "route"), closed_at()
+        fx.kept_classified(spark, sf).select("ingested_at", "ingest_date", "route"), closed_at()
     )
     rates = health.invalid_rate(rows, ["window_start"])
     return rates.select(
@@ -194,7 +194,7 @@ def invalid_rate(spark, sf):
     "AS rate FROM valid GROUP BY 1",
 )
 def late_rate(spark, sf):
-    rows = fx.valid(spark, sf).withColumn(
+    rows = fx.kept_valid(spark, sf).withColumn(
         "ingest_date", F.to_date("ingested_at").cast("string")
     )
     return _rounded(health.late_rate(rows, by=["ingest_date"]), "rate")

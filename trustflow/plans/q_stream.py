@@ -215,7 +215,7 @@ def late_recovery(spark, sf):
     """What the watermark dropped comes back by reconciliation with the stored valid deliveries; what it
     did not drop was stored before."""
     durable = _merged(spark, sf, scratch_dir(spark, "late"))
-    lost = dedup.first_delivery(reconcile.missing_events(fx.valid(spark, sf), durable))
+    lost = dedup.first_delivery(reconcile.missing_events(fx.kept_valid(spark, sf), durable))
     sides = durable.select("event_id", "event_name", F.lit(1).alias("stored")).unionByName(
         lost.select("event_id", "event_name", F.lit(0).alias("stored"))
     )
