@@ -127,7 +127,8 @@ def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     labelled = slim.join(groups(slim, "id"), "fp")
     first = F.row_number().over(Window.partitionBy("label").orderBy(F.col("id").asc_nulls_last(), "tie", "rid"))
     winners = store.keep(labelled.select("rid", first.alias("n")).filter("n = 1").select("rid"), "kept")
-    return marked.join(winners, "rid", "left_semi").select("row.*")
+    # One plan at every size: without the hint a short list of winners would be broadcast and a long one not.
+    return marked.join(winners.hint("merge"), "rid", "left_semi").select("row.*")
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
