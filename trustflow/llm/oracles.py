@@ -79,3 +79,38 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
   coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN agg USING (doc_id)
 """
+
+
+_SPACE = r"[\x20\x09-\x0D]"
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+QUALITY = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_WORDS}')) AS l
+  FROM documents
+), win AS (
+  SELECT doc_id, p, array_to_string(w[p : p + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM d WHERE len(w) > 2)
+), again AS (
+  SELECT doc_id, p FROM win JOIN (SELECT doc_id, s FROM win GROUP BY ALL HAVING count(*) > 1) USING (doc_id, s)
+), rep AS (
+  SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + 3)) AS q FROM again) GROUP BY doc_id
+), m AS (
+  SELECT doc_id, t, w, l, len(w)::BIGINT AS n_words,
+    length(regexp_replace(t, '{_SPACE}', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+    len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letter_words,
+    len(list_filter(w, lambda x: regexp_matches(x, '^\p{{Lu}}{{2,}}($|[^\p{{Lu}}\p{{Ll}}])'))) AS n_capital_words,
+    len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\t\r]*$'))) AS n_ellipsis_lines
+  FROM d LEFT JOIN rep USING (doc_id)
+), v AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR n_symbols > 0.2 * n_words OR word_chars < 2 * n_words OR word_chars > 12 * n_words
+    OR n_dup_lines > 0.3 * len(l) OR n_letter_words < 0.6 * n_words OR n_capital_words > 0.5 * n_words
+    OR n_ellipsis_lines > 0.3 * len(l)) AS kept
+FROM v
+"""

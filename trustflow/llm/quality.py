@@ -73,22 +73,22 @@ def repeated_words(word_array: Column) -> Column:
 
 def _metric_columns(w: Column) -> dict[str, Column]:
     text = F.col("_text")
-    lines = let(F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), lambda a: F.size(a) - F.size(F.array_distinct(a)))
+    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return {
         "n_words": F.size(w),
         "word_chars": F.length(F.translate(text, " \t\n\x0b\x0c\r", "")),
         "n_symbols": F.length(text) - F.length(F.translate(text, SYMBOLS, "")),
-        "n_dup_lines": lines,
+        "n_dup_lines": let(lines, lambda a: F.size(a) - F.size(F.array_distinct(a))),
         "n_repeat_words": repeated_words(w),
     }
 
 
 #: Metrics that only the method's own rules read; computed where the cascade comes to them.
 LAZY = {
-    "n_lines": r"regexp_count(_text, '(?m)^.*[^\\x20\\x09-\\x0D].*$')",
+    "n_lines": r"size(filter(split(_text, '\n', -1), x -> x rlike '[^\\x20\\x09-\\x0D]'))",
     "n_letter_words": r"regexp_count(_text, '(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D]*?\\p{L}')",
     "n_capital_words": r"regexp_count(_text, '(?<![^\\x20\\x09-\\x0D])\\p{Lu}{2,}+(?!\\p{Ll})')",
-    "n_ellipsis_lines": r"regexp_count(_text, '(?m)(\\.\\.\\.|…)\\s*$')",
+    "n_ellipsis_lines": r"regexp_count(_text, '(?:\\.\\.\\.|…)[\\x20\\t\\r]*(?:\n|\\z)')",
 }
 
 

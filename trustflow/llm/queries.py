@@ -19,6 +19,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_warc": oracles.WARC,
+    "op2_quality_rules": oracles.QUALITY,
     "op7_secrets": oracles.SECRETS,
     "op10_decontamination": oracles.DECONTAMINATION,
 }
