@@ -110,7 +110,7 @@ WITH d AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR n_symbols > 0.2 * n_words OR word_chars < 2 * n_words OR word_chars > 12 * n_words
-    OR n_dup_lines > 0.3 * len(l) OR n_letter_words < 0.6 * n_words OR n_capital_words > 0.5 * n_words
+    OR n_dup_lines > 0.5 * len(l) OR n_letter_words < 0.6 * n_words OR n_capital_words > 0.5 * n_words
     OR n_ellipsis_lines > 0.3 * len(l)) AS kept
 FROM v
 """

@@ -42,7 +42,7 @@ RULES = (
     Rule("repeated_words", "100 * n_repeat_words > 50 * n_words", True),
     Rule("symbols", "n_symbols > 0.2 * n_words"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 12 * n_words"),
-    Rule("repeated_lines", "n_dup_lines > 0.3 * n_lines"),
+    Rule("repeated_lines", "n_dup_lines > 0.5 * n_lines"),
     Rule("letters", r"n_letter_words < 0.6 * n_words"),
     Rule("capitals", r"n_capital_words > 0.5 * n_words"),
     Rule("ellipsis", r"n_ellipsis_lines > 0.3 * n_lines"),
