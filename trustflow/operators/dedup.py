@@ -37,15 +37,11 @@ def insert_only(
     batch: DataFrame,
     key: str = "event_id",
     order=ARRIVAL_ORDER,
-    small_batch: bool = False,
 ) -> DataFrame:
     """Rows of a batch whose key the target does not hold yet, one per key.
 
-    The target is read for its key column only. With ``small_batch`` (a stored micro-batch)
-    the target is first cut down to the keys of the batch, so the small side is the one to
-    broadcast or shuffle; the batch is read twice for that. Otherwise one anti join does it.
+    The target is read for its key column only and first cut down to the keys of the batch, so the
+    smaller side is the one to broadcast or shuffle; the batch is read twice for that.
     """
-    held = target_ids.select(key)
-    if small_batch:
-        held = held.join(batch.select(key).distinct(), key, "left_semi").distinct()
+    held = target_ids.select(key).join(batch.select(key).distinct(), key, "left_semi").distinct()
     return first_delivery(batch, key, order).join(held, key, "left_anti")

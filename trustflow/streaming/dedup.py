@@ -48,7 +48,7 @@ def merge_handler(path: str, app_id: str, key: str = "event_id", fmt: str = "par
         # The merge looks at the batch twice; without this the stateful plan would run twice.
         batch.persist()
         try:
-            new = ops.insert_only(prior, batch, key, small_batch=True)
+            new = ops.insert_only(prior, batch, key)
             write_batch(new, path, batch_id, app_id, fmt)
         finally:
             batch.unpersist()
