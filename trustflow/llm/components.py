@@ -1,7 +1,9 @@
 """Connected components of a graph given as links, by alternating large-star and small-star steps.
 
-Each step groups by node for its least neighbour, stores that, and joins it back, so a hub's links are never
-gathered in one row; as both sides of the join are plain tables, a hub's partition can be split. Between steps the links are
+Each step groups by node for its least neighbour and joins that back, so a hub's links are never gathered in one row. In
+the large-star step, where hubs have their links, the least neighbours are stored first: as both sides of
+the join are plain tables, a hub's partition can be split. In the small-star step a node only has
+links to the centres that it is about to leave. Between steps the links are
 written to the shared folder. The result does not depend on partitioning.
 """
 
@@ -14,13 +16,12 @@ from trustflow.llm import store
 
 def _least(pairs: DataFrame) -> DataFrame:
     """pairs (u, v): for each u the least of itself and its v."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return store.keep(least, "least")
+    return pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return both.join(store.keep(_least(both), "least"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -37,8 +38,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = store.keep(now.filter("u <> v").distinct(), "links")
     before = None
     while True:
-        now = store.keep(_large_star(now).distinct(), "large-stars")
-        now = store.keep(_small_star(now).filter("u > v").distinct(), "stars")
+        now = store.keep(_small_star(_large_star(now)).filter("u > v").distinct(), "stars")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == before or not state[0]:
             break
