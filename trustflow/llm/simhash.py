@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from trustflow.llm import store
+from trustflow.llm import nearcopies, store
 from trustflow.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -117,14 +117,16 @@ def groups(marked: DataFrame, id_col: str = "doc_id", distance: int = DISTANCE)
 
 
 def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without near copies: of each component the row with the least id (null ids last;
-    repeated ids by a hash of the text). Texts move once, when the kept rows are picked out."""
-    marked = fingerprints(documents, text_col).withColumn("rid", F.monotonically_increasing_id())
-    marked = store.keep(marked, "marked")
+    """The documents without near copies (``nearcopies``: five words, similarity of 0.8; two bits of a fingerprint reach
+    hardly more than exact copies): of each component the row with the least id (null ids last; repeated ids by a
+    hash of the text). Texts move when candidates are compared and when the kept rows are picked out."""
+    rows = documents.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid"))
+    marked = store.keep(rows, "marked")
+    text = F.col(f"row.{text_col}")
     slim = store.keep(
-        marked.select("rid", "fp", F.col(f"row.{id_col}").alias("id"), F.xxhash64(f"row.{text_col}").alias("tie")), "slim"
+        nearcopies.signed(marked.select("rid", F.col(f"row.{id_col}").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))), "slim"
     )
-    labelled = slim.join(groups(slim, "id"), "fp")
+    labelled = slim.join(nearcopies.groups(slim, marked.select("rid", text.alias("text"))), "key")
     first = F.row_number().over(Window.partitionBy("label").orderBy(F.col("id").asc_nulls_last(), "tie", "rid"))
     winners = store.keep(labelled.select("rid", first.alias("n")).filter("n = 1").select("rid"), "kept")
     # One plan at every size: without the hint a short list of winners would be broadcast and a long one not.
