@@ -80,6 +80,18 @@ def test_learned_identifiers(spark):
     assert sorted(got) == [(100, ("like_phone", 11, 23)), (100, ("like_phone", 11, 23)), (101, ("like_phone", 11, 23))]
 
 
+def test_a_chain_of_contexts_is_followed_to_its_end(spark):
+    """Each context is supported by numbers learned from the one before it alone: four rounds learn something."""
+    rows = [f"before-a +1 212 555 {1000 + i} after-a" for i in range(400)]
+    chain = [(step, f"77-{step}{i:03d}-5555") for step, n in enumerate((120, 36, 10, 2)) for i in range(n)]
+    for step, number in chain:
+        rows += [f"before-{x} {number} after-{x}" for x in "abcde"[step : step + 2]]
+    rows += [f"other{i} 88-{i}00-5555 word{i}" for i in range(9)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.instance: r.kind for r in pii.learned(pii.graph(pii.marked(df))).collect()}
+    assert found == {number: "phone" for _, number in chain}
+
+
 def test_mask_keeps_documents_columns_and_counts(spark):
     rows = [(i, t, "x", None if t is None else len(t), "s") for i, t in corpus()]
     rows += [(None, "é a@b.c 4111 1111 1111 1111!", "y", 3, "t")]

@@ -8,7 +8,8 @@
 4. Rounds. A pattern's confidence in a kind is the score of its instances of that kind over the number of its
    instances plus one; patterns need ``SUPPORT`` scored instances and ``CONFIDENCE``. An unknown
    instance scores 1 - product(1 - confidence) over its patterns; with two patterns and
-   ``ACCEPT`` it is learned and supports patterns in the next round. Rounds end when nothing new is learned.
+   ``ACCEPT`` it is learned, stays learned with that kind and score, and supports patterns in the next round. Rounds go on
+   until one learns nothing new; each other one adds an instance, so they end.
 5. Learned instances are joined back to every place where they stand, as kind ``like_<kind>``. Seeds always stay.
 
 Counts before scores combine before each shuffle; a hot context or a hot instance is one row of the graph per partner,
@@ -34,7 +35,6 @@ CANDIDATE = r"(?<![A-Za-z0-9@._%+-])(?=[A-Za-z._%+-]*+[0-9@])[A-Za-z0-9@._%+-]{6
 
 KINDS = ("email", "ip", "card", "phone")
 SPANS = "array<struct<kind:string,start:int,end:int>>"
-ROUNDS = 3
 SUPPORT = 5
 CONFIDENCE = 0.75
 ACCEPT = 0.97
@@ -127,13 +127,13 @@ def graph(found: DataFrame) -> DataFrame:
     return c.select(pattern.alias("pattern"), "instance", "kind").groupBy("pattern", "instance").agg(F.max("kind").alias("kind"))
 
 
-def learned(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE, accept: float = ACCEPT) -> DataFrame:
+def learned(edges: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, accept: float = ACCEPT) -> DataFrame:
     """(instance, kind) of the unknown instances that the patterns give away."""
     spark = edges.sparkSession
     edges = store.keep(edges, "pii-graph")
     # Patterns without a seed can only come in through learned instances; those without any support are left out of the rounds.
     known = spark.createDataFrame([], "instance string, kind string, score double")
-    for _ in range(rounds):
+    while True:
         k = known.select("instance", F.col("kind").alias("like"), "score")
         scored = edges.join(k, "instance", "left").select(
             "pattern", "instance", F.coalesce("kind", "like").alias("kind"), F.when(F.col("kind").isNotNull(), 1.0).otherwise(F.col("score")).alias("score")
@@ -147,11 +147,12 @@ def learned(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, conf
             F.count("*").alias("patterns"), (1 - F.exp(F.sum(F.log1p(-F.col("confidence"))))).alias("score")
         )
         best = votes.filter((F.col("patterns") >= 2) & (F.col("score") >= accept)).groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("b"))
-        now = store.keep(best.select("instance", F.col("b.kind").alias("kind"), F.col("b.score").alias("score")), "pii-learned")
-        grown = now.join(known.select("instance"), "instance", "left_anti").limit(1).count()
-        known = now
-        if not grown:
+        now = best.select("instance", F.col("b.kind").alias("kind"), F.col("b.score").alias("score"))
+        new = store.keep(now.join(known.select("instance"), "instance", "left_anti"), "pii-learned")
+        if new.isEmpty():
             break
+        # What was learned before stays as it was, so a round depends on the instances learned so far and nothing else.
+        known = store.keep(known.union(new), "pii-known")
     return known.select("instance", "kind")
 
 
