@@ -19,7 +19,7 @@ def similarity(a, b):
 
 
 def planted(rng):
-    """Bases, each with copies in which some words are others; half of the copies of the last bases are unlike each other."""
+    """Texts, each with copies in which up to 8 % of the words are others."""
     rows = []
     for base in range(40):
         words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([30, 80, 250, 900]))]
