@@ -114,3 +114,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR n_ellipsis_lines > 0.3 * len(l)) AS kept
 FROM v
 """
+
+COLLOCATIONS = rf"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS p, unnest(regexp_split_to_array({_ASCII_LOWER}, '[.,;:!?\x0A-\x0D]')) AS t FROM documents
+), w AS (SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+part AS (
+  SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS s, any_value(w[i : i + m - 1]) AS ws, count(*) AS f
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, range(1, 6) t(m) WHERE len(w) >= m)
+  GROUP BY ALL HAVING count(*) >= 100
+), cut AS (
+  SELECT c.lang, c.s, c.m, c.f AS a, k, x.f AS l, y.f AS r, n,
+    (1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM part WHERE m > 1) c
+  JOIN total USING (lang)
+  JOIN part x ON x.lang = c.lang AND x.s = array_to_string(c.ws[1 : k], ' ')
+  JOIN part y ON y.lang = c.lang AND y.s = array_to_string(c.ws[k + 1 :], ' ')
+), least AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT DISTINCT lang, array_to_string(ws[i : i + j - 1], ' ') AS s, f
+  FROM (SELECT *, unnest(range(1, m - j + 2)) AS i FROM part, range(2, 5) t(j) WHERE j < m)
+), kept AS (
+  SELECT * FROM least c WHERE NOT EXISTS (SELECT 1 FROM inner_ i WHERE i.lang = c.lang AND i.s = c.s AND 100 * i.f >= 100 * c.a)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(s)) AS rank, s AS phrase,
+  a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000
+"""

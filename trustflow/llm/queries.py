@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trustflow.llm import decontaminate, mixing, oracles, pii, quality, secrets, simhash, tokens, toxicity, urls, warc
+from trustflow.llm import collocations, decontaminate, langid, mixing, oracles, pii, quality, secrets, simhash, spelling, tokens, toxicity, urls, warc
 
 QUERIES = {
     "op1_warc": warc.op1,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_pii": pii.op8,
     "op9_toxicity": toxicity.op9,
     "op10_decontamination": decontaminate.op10,
+    "op11_spelling_variants": spelling.op11,
+    "op12_collocations": collocations.op12,
+    "op13_language_id": langid.op13,
 }
 
 ORACLES = {
@@ -22,4 +25,5 @@ ORACLES = {
     "op2_quality_rules": oracles.QUALITY,
     "op7_secrets": oracles.SECRETS,
     "op10_decontamination": oracles.DECONTAMINATION,
+    "op12_collocations": oracles.COLLOCATIONS,
 }
