@@ -55,7 +55,7 @@ def made_up(seed, n=300):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "least", "sizes"), [(1, 5, Sizes()), (2, 3, Sizes(300, 2, 64, 1, 64)), (3, 8, Sizes(1, 4, 2, 1 << 20, 1 << 10))])
+@pytest.mark.parametrize(("seed", "least", "sizes"), [(1, 5, Sizes()), (2, 3, Sizes(300, 2, 64, 1, 64, 0)), (3, 8, Sizes(1, 4, 2, 1 << 20, 1 << 10, 4))])
 def test_all_phrases(spark, seed, least, sizes):
     rows = made_up(seed) + [(None, "en"), ("", "fr")]
     want = plain(rows, least)

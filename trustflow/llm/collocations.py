@@ -2,15 +2,16 @@
 
 1. Blocks. A task cuts its texts into pieces and words and keeps them per language in blocks of ``BLOCK_BYTES``: the
    distinct words with their counts, and the text as positions in that list. Pieces are never cut; a longer piece is a block of its own.
-2. Symbols of level 1 are the words with ``MIN_COUNT`` occurrences, numbered over all tasks from the most frequent on. A block gets
-   the numbers of its own words by a join on the word, so no task holds the whole vocabulary.
+2. Symbols of level 1 are the words with ``MIN_COUNT`` occurrences, numbered over all tasks from the most frequent on. The first
+   ``HEAD`` of them, of ``HEAD_BYTES`` at most each, are a table of bounded size that every task holds; a block gets the numbers
+   of its other words by a join on the word, so no task holds the whole vocabulary and no frequent word is a hot key.
 3. Tiles. In a block symbols stand in the order of their numbers, so frequent ones have small positions. Neighbouring symbols
    (x, y) fall into tiles of ``TILE`` x ``TILE`` positions. Of the ``DENSE_TILES`` x ``DENSE_TILES`` first tiles those that hold a pair
    per ``FILL`` cells or more are counted by one ``bincount`` over the cells; all other pairs are sorted
    coordinates counted as runs. Spark sums the counts of all blocks per pair of symbols, combined before the shuffle.
 4. Recursion. Pairs with MIN_COUNT occurrences are numbered from the most frequent on: the symbols of the next level. Two
    neighbouring symbols of level k overlap in k - 1 words, so a pair of them is a phrase of k + 1 words. Symbols without a neighbour
-   are left out of the stored blocks. Before the join of a block's pairs with the frequent ones, a bitmap of fixed size
+   are left out of the stored blocks. Before a block's words or pairs are joined with the frequent ones, a bitmap of fixed size
    (``FILTER_BITS``) leaves out most that are not frequent; where it is full it leaves out fewer and the join decides alike.
 5. A phrase carries the counts of its first and last words of each length, so all cuts are scored in one row, in whole
    numbers of 38 digits. A phrase inside a longer candidate as frequent as itself is also inside one that is
@@ -28,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
@@ -37,9 +39,10 @@ from trustflow.llm import store
 MIN_COUNT = 100
 LONGEST = 5  # words of a phrase
 BEST = 2000  # phrases reported per language
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 TILE, DENSE_TILES, FILL = 1024, 64, 16
 FILTER_BITS = 1 << 23
+HEAD, HEAD_BYTES = 1 << 16, 64
 UNKNOWN = "und"
 
 
@@ -52,6 +55,7 @@ class Sizes:
     dense_tiles: int = DENSE_TILES
     fill: int = FILL
     filter_bits: int = FILTER_BITS
+    head: int = HEAD
 
 
 _BREAK = b"."
@@ -163,9 +167,10 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 listed, size = codes, int(codes.max(initial=-1)) + 1
             table = np.full(size + 1, -1, dtype=np.int64)  # the last one is for -1
-            found = batch.column("found")[i].values
-            if found is not None:
-                table[found.field("place").to_numpy()] = found.field("id").to_numpy()
+            for name in {"heads", "found"} & set(batch.schema.names):
+                rows = batch.column(name)[i].values
+                if rows is not None:
+                    table[rows.field("place").to_numpy()] = rows.field("id").to_numpy()
             symbols, out = _sequence(table[listed])
             if len(symbols):
                 yield pa.RecordBatch.from_arrays(
@@ -241,6 +246,74 @@ def pair_filter(frequent: DataFrame, bits: int) -> np.ndarray:
     return table
 
 
+_PLACES = "array<struct<place: bigint, id: bigint>>"
+
+
+def head_table(words: DataFrame, size: int) -> dict[str, tuple[pa.Array, np.ndarray]]:
+    """The most frequent words of each language with their ids, ``size`` x ``HEAD_BYTES`` bytes of words at most."""
+    top = words.orderBy("id").limit(size).filter(F.octet_length("word") <= HEAD_BYTES).select("lang", "word", "id").toArrow().combine_chunks()
+    found = {}
+    for lang in pc.unique(top.column("lang")).to_pylist():
+        own = top.filter(pc.equal(top.column("lang"), lang))
+        found[lang] = own.column("word").combine_chunks(), own.column("id").to_numpy()
+    return found
+
+
+def _in_head(words: pa.Array, lang: str, heads: dict) -> tuple[np.ndarray, np.ndarray]:
+    """For each word whether it is in the head table, and the ids of those that are."""
+    if lang not in heads:
+        return np.zeros(len(words), dtype=bool), np.empty(0, dtype=np.int64)
+    listed, ids = heads[lang]
+    at = pc.fill_null(pc.index_in(words, value_set=listed.cast(words.type)), -1).to_numpy()
+    return at >= 0, ids[at[at >= 0]]
+
+
+def _with_heads(heads: dict):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                there, ids = _in_head(batch.column("words")[i].values, batch.column("lang")[i].as_py(), heads)
+                rows = pa.StructArray.from_arrays([pa.array(np.flatnonzero(there)), pa.array(ids, pa.int64())], names=["place", "id"])
+                found = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
+                yield pa.RecordBatch.from_arrays([batch.column("block").slice(i, 1), batch.column("codes").slice(i, 1), found], names=["block", "codes", "heads"])
+
+    return run
+
+
+def _tails(heads: dict, table: np.ndarray, bits: int):
+    """The block's words that are not in the head table and that the bitmap lets pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                lang, words = batch.column("lang")[i].as_py(), batch.column("words")[i].values
+                rest = np.flatnonzero(~_in_head(words, lang, heads)[0])
+                hashes = (xxhash.xxh64_intdigest(w.as_buffer(), 42) for w in words.take(pa.array(rest)).cast(pa.binary()))
+                y = np.fromiter(hashes, dtype=np.uint64, count=len(rest)).view(np.int64)
+                x = np.full(len(rest), xxhash.xxh64_intdigest(lang.encode(), 42), dtype=np.uint64).view(np.int64)
+                at = _bit(x, y, bits)
+                places = rest[table[at >> 5] >> (at & 31).astype(np.uint32) & 1 == 1]
+                block = np.full(len(places), batch.column("block")[i].as_py(), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block), pa.array(places, pa.int64()), pa.array([lang] * len(places), pa.string()), words.take(pa.array(places)).cast(pa.string())],
+                    names=["block", "place", "lang", "word"],
+                )
+
+    return run
+
+
+def first_level(made: DataFrame, words: DataFrame, sizes: Sizes) -> DataFrame:
+    """Blocks in symbols of level 1."""
+    heads = head_table(words, sizes.head)
+    # Spark's xxhash64 of one text is XXH64 with seed 42.
+    known = pair_filter(words.select(F.xxhash64("lang").alias("x"), F.xxhash64("word").alias("y")), sizes.filter_bits)
+    tails = made.select("block", "lang", "words").mapInArrow(_tails(heads, known, sizes.filter_bits), "block long, place long, lang string, word string")
+    placed = tails.join(words.select("lang", "word", "id").hint("merge"), ["lang", "word"]).select("block", "place", "id")
+    lists = placed.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("found"))
+    headed = made.select("block", "lang", "words", "codes").mapInArrow(_with_heads(heads), f"block long, codes binary, heads {_PLACES}")
+    return store.keep(headed.join(lists.hint("merge"), "block", "left").mapInArrow(_encode, _LEVEL), "level")
+
+
 def _sift(table: np.ndarray, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,19 +329,17 @@ def _sift(table: np.ndarray, bits: int):
     return run
 
 
-def _next_level(level: DataFrame, placed: DataFrame, columns: list[str]) -> DataFrame:
+def _next_level(level: DataFrame, placed: DataFrame) -> DataFrame:
     """level: stored blocks; placed: (block, place, id). Blocks in symbols of the next level; a block's list is bounded by the block."""
     lists = placed.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("found"))
-    return store.keep(level.select("block", *columns).join(lists.hint("merge"), "block").mapInArrow(_encode, _LEVEL), "level")
+    return store.keep(level.join(lists.hint("merge"), "block").mapInArrow(_encode, _LEVEL), "level")
 
 
 def phrases(made: DataFrame, min_count: int = MIN_COUNT, sizes: Sizes = Sizes()) -> Iterator[DataFrame]:
     """Frequent phrases level by level from two words on, stored: (id, x, y, n, lang, words, pre, suf); x and y are the ids of
     all words but the last and but the first, pre and suf the counts of its first and last words of each length."""
     words = vocabulary(made, min_count)
-    each = made.select("block", "lang", F.posexplode("words").alias("place", "word"))
-    placed = each.join(words.select("lang", "word", "id").hint("merge"), ["lang", "word"]).select("block", "place", "id")
-    level = _next_level(made, placed, ["codes"])
+    level = first_level(made, words, sizes)
     known = words.select("id", "n", "lang", F.array("word").alias("words"), F.array("n").alias("pre"), F.array("n").alias("suf"))
     for size in range(2, LONGEST + 1):
         counts = level.mapInArrow(lambda batches: _count(batches, sizes), "x long, y long, c long").groupBy("x", "y").agg(F.sum("c").alias("n"))
@@ -288,7 +359,7 @@ def phrases(made: DataFrame, min_count: int = MIN_COUNT, sizes: Sizes = Sizes())
         if size < LONGEST:
             sifted = level.select("block", "symbols", "codes").mapInArrow(_sift(pair_filter(frequent, sizes.filter_bits), sizes.filter_bits), "block long, place long, x long, y long")
             placed = sifted.join(frequent.select("x", "y", "id").hint("merge"), ["x", "y"]).select("block", "place", "id")
-            level = _next_level(level, placed, ["symbols", "codes"])
+            level = _next_level(level, placed)
 
 
 def collocations(
