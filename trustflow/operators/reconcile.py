@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustflow.functions.canonical import row_text
+from trustflow.sources import store
 
 
 def ingested_between(df: DataFrame, start, end) -> DataFrame:
@@ -76,5 +77,46 @@ def write_replay(df: DataFrame, path: str, replay_id: str) -> None:
     )
 
 
+def compare_rows(expected: DataFrame, other: DataFrame) -> DataFrame:
+    """One row: expected_rows, replayed_rows and differing (rows that one side has more often), from one pass over both."""
+    columns = sorted(expected.columns)
+    text = F.sha2(row_text(columns), 256).alias("h")
+    sides = expected.select(text, F.lit(1).alias("e"), F.lit(0).alias("o")).unionByName(
+        other.select(text, F.lit(0).alias("e"), F.lit(1).alias("o"))
+    )
+    per_row = sides.groupBy("h").agg(F.sum("e").alias("e"), F.sum("o").alias("o"))
+    return per_row.agg(
+        F.coalesce(F.sum("e"), F.lit(0)).alias("expected_rows"),
+        F.coalesce(F.sum("o"), F.lit(0)).alias("replayed_rows"),
+        F.coalesce(F.sum(F.abs(F.col("e") - F.col("o"))), F.lit(0)).alias("differing"),
+    )
+
+
+def promote_replay(spark, path: str, replay_id: str, expected: DataFrame) -> bool:
+    """Makes a replay the current one if its rows equal the expected ones; says whether it is.
+
+    The marker comes last and is created exclusively under the next number, so readers go from one whole replay to
+    another, and of two promotions at once one fails. A replay that is current already stays so.
+    """
+    if current_replay(spark, path) == replay_id:
+        return True
+    compared = compare_rows(expected, read_replay(spark, path, replay_id).select(*expected.columns)).first()
+    if compared["differing"]:
+        return False
+    folder = f"{path}/_current"
+    store.make_dirs(spark, folder)
+    number = 1 + max([int(n.split(".")[0]) for n in store.data_files(spark, folder)], default=0)
+    store.create_json(spark, f"{folder}/{number:08d}.json", {"replay_id": replay_id, "rows": compared["expected_rows"]})
+    return True
+
+
+def current_replay(spark, path: str) -> str | None:
+    """The replay that was promoted last."""
+    folder = f"{path}/_current"
+    store.make_dirs(spark, folder)
+    names = store.data_files(spark, folder)
+    return store.read_json(spark, f"{folder}/{max(names)}")["replay_id"] if names else None
+
+
 def read_replay(spark, path: str, replay_id: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("replay_id") == replay_id).drop("replay_id")

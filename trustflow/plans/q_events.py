@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from trustflow.functions import ids
 from trustflow.functions.times import format_utc, seconds_between
-from trustflow.operators import classify, dedup, enrich, evidence, facts, ordering, reconcile, snapshot
+from trustflow.operators import classify, dedup, enrich, facts, ordering, reconcile, snapshot
 from trustflow.plans import fixture_sql as sql
 from trustflow.plans import fixtures as fx
 from trustflow.plans.q_delivery import event_columns
@@ -63,11 +63,15 @@ def recon_gap(spark, sf):
 
 @query(
     "conflicting_payloads",
-    f"WITH {sql.EV} SELECT event_id, count(*) AS deliveries FROM ev GROUP BY event_id "
-    "HAVING count(DISTINCT val) > 1",
+    f"WITH {sql.VALID} SELECT event_id, count(*) * 2 AS deliveries FROM valid "
+    "WHERE CAST(right(event_id, 9) AS BIGINT) % 3 = 0 GROUP BY event_id",
 )
 def conflicting_payloads(spark, sf):
-    return reconcile.conflicting_payloads(fx.ev(spark, sf), [*fx.CONTRACT.names, "val"])
+    """Decoded valid deliveries, each sent once more; for a third of the events the second sending names another device type."""
+    valid = fx.kept_valid(spark, sf)
+    other = F.when(F.right("event_id", F.lit(9)).cast("bigint") % 3 == 0, F.lit("other")).otherwise(F.col("device_type"))
+    again = valid.withColumn("device_type", other)
+    return reconcile.conflicting_payloads(valid.unionByName(again), fx.CONTRACT.names)
 
 
 _STATUS = (
@@ -162,23 +166,15 @@ def not_found_rate(spark, sf):
     "0::BIGINT AS differing FROM uniq",
 )
 def replay_idempotent(spark, sf):
-    """Two runs of one replay into an isolated target, compared before promotion."""
+    """Two runs of one replay into an isolated target, then promoted: readers get what was expected."""
     path = scratch_dir(spark, "replay")
     expected = fx.unique_events(spark, sf)
     for _ in range(2):
         reconcile.write_replay(expected, path, "r1")
-    replayed = reconcile.read_replay(spark, path, "r1").select(*expected.columns)
-    sides = evidence.set_differences(expected.drop("processed_at"), replayed.drop("processed_at"))
-
-    tagged = None
-    for name, df in (("expected", expected), ("replayed", replayed), ("differing", sides)):
-        part = df.select(F.lit(name).alias("part"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    return tagged.agg(
-        F.count_if(F.col("part") == "expected").alias("expected_rows"),
-        F.count_if(F.col("part") == "replayed").alias("replayed_rows"),
-        F.count_if(F.col("part") == "differing").alias("differing"),
-    )
+    compared = expected.drop("processed_at")
+    reconcile.promote_replay(spark, path, "r1", compared)
+    current = reconcile.read_replay(spark, path, reconcile.current_replay(spark, path))
+    return reconcile.compare_rows(compared, current.select(*compared.columns))
 
 
 @query(

@@ -23,6 +23,12 @@ def make_dirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a file or a folder with all it holds; nothing happens where there is none."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def data_files(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, without those that start with a dot or an underscore."""
     fs, p = _fs(spark, path)

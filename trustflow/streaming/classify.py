@@ -17,7 +17,8 @@ from trustflow.streaming.ingest import paced
 def write_batch(df: DataFrame, path: str, batch_id: int, app_id: str, fmt: str = "parquet") -> None:
     """Writes one batch so that a retried batch replaces itself.
 
-    Delta keeps (app id, batch id) in its log; for parquet the batch is its own partition.
+    Delta keeps (app id, batch id) in its log; for parquet the batch is its own folder, which a retry overwrites
+    even with nothing.
     """
     if fmt == "delta":
         (
@@ -28,13 +29,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int, app_id: str, fmt: str =
             .save(path)
         )
         return
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    df.drop("batch_id").write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
 def batch_handler(

@@ -10,6 +10,7 @@ from trustflow.operators import dedup as ops
 from trustflow.operators.enrich import enrich
 from trustflow.operators.snapshot import SnapshotSpec
 from trustflow.sources import snapshots, store
+from trustflow.sources.keyed import KeyedTable
 from trustflow.streaming import binding
 from trustflow.streaming.classify import write_batch
 from trustflow.streaming.ingest import paced, state_partitions
@@ -25,8 +26,13 @@ def deduplicated(valid_stream: DataFrame, lateness: str = LATENESS, key: str = "
     return valid_stream.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark([key])
 
 
-def merge_handler(path: str, app_id: str, key: str = "event_id", fmt: str = "parquet"):
-    """Insert-only merge of a micro-batch into the durable unique-event table."""
+def merge_handler(path: str, app_id: str, key: str = "event_id", fmt: str = "parquet", buckets: int | None = None):
+    """Insert-only merge of a micro-batch into the durable unique-event table.
+
+    With ``buckets`` the table is a ``KeyedTable``: a batch reads the buckets that it touches. Without, batches
+    are folders of one Parquet table and each batch reads the key column of all.
+    """
+    table = KeyedTable(path, key, buckets) if buckets else None
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -41,6 +47,15 @@ def merge_handler(path: str, app_id: str, key: str = "event_id", fmt: str = "par
                 .execute()
             )
             return
+        if table is not None:
+            label = f"{app_id}-{batch_id:012d}"
+            table.fold(spark, label)
+            batch.persist()  # looked at three times; the stateful plan must run once
+            try:
+                table.merge(batch, label)
+            finally:
+                batch.unpersist()
+            return
         store.make_dirs(spark, path)
         held = spark.read.schema(f"{key} STRING, batch_id BIGINT").parquet(path)
         # A retried batch must not see its own earlier write as already present.
@@ -67,6 +82,7 @@ def start_dedup_merge(
     partitions: int | None = None,
     registry: str | None = None,
     source: str = "",
+    buckets: int | None = None,
 ) -> StreamingQuery:
     if registry:
         binding.claim(valid_stream.sparkSession, registry, checkpoint, binding.Claim(app_id, source, path))
@@ -74,7 +90,7 @@ def start_dedup_merge(
         deduplicated(valid_stream, lateness)
         .writeStream.option("checkpointLocation", checkpoint)
         .queryName("dedup_" + app_id)
-        .foreachBatch(merge_handler(path, app_id, fmt=fmt))
+        .foreachBatch(merge_handler(path, app_id, fmt=fmt, buckets=buckets))
     )
     with state_partitions(valid_stream.sparkSession, partitions):
         return paced(writer, cadence).start()
@@ -102,7 +118,11 @@ def start_enrich(
     snapshot_root: str,
     spec: SnapshotSpec,
     cadence: str = "drain",
+    registry: str | None = None,
+    source: str = "",
 ) -> StreamingQuery:
+    if registry:
+        binding.claim(events_stream.sparkSession, registry, checkpoint, binding.Claim(app_id, source, path))
     writer = (
         events_stream.writeStream.option("checkpointLocation", checkpoint)
         .queryName("enrich_" + app_id)
