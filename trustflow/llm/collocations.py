@@ -4,7 +4,8 @@
    distinct words with their counts, and the text as positions in that list. Pieces are never cut; a longer piece is a block of its own.
 2. Symbols of level 1 are the words with ``MIN_COUNT`` occurrences, numbered over all tasks from the most frequent on. The first
    ``HEAD`` of them, of ``HEAD_BYTES`` at most each, are a table of bounded size that every task holds; a block gets the numbers
-   of its other words by a join on the word, so no task holds the whole vocabulary and no frequent word is a hot key.
+   of its other words by a join on the word, so no task holds the whole vocabulary and no frequent word is a hot key. The
+   same holds for the pairs of each level.
 3. Tiles. In a block symbols stand in the order of their numbers, so frequent ones have small positions. Neighbouring symbols
    (x, y) fall into tiles of ``TILE`` x ``TILE`` positions. Of the ``DENSE_TILES`` x ``DENSE_TILES`` first tiles those that hold a pair
    per ``FILL`` cells or more are counted by one ``bincount`` over the cells; all other pairs are sorted
@@ -39,10 +40,10 @@ from trustflow.llm import store
 MIN_COUNT = 100
 LONGEST = 5  # words of a phrase
 BEST = 2000  # phrases reported per language
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 TILE, DENSE_TILES, FILL = 1024, 64, 16
 FILTER_BITS = 1 << 23
-HEAD, HEAD_BYTES = 1 << 16, 64
+HEAD, HEAD_BYTES = 1 << 18, 64
 UNKNOWN = "und"
 
 
@@ -137,6 +138,27 @@ def vocabulary(made: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     return _ranked(each.groupBy("lang", "word").agg(F.sum("c").alias("n")).filter(F.col("n") >= min_count))
 
 
+class PairHead:
+    """The most frequent pairs (x, y) with their ids, 24 bytes each."""
+
+    def __init__(self, frequent: DataFrame, size: int):
+        top = frequent.orderBy("id").limit(size).select("x", "y", "id").toArrow()
+        x, y, ids = (top.column(c).to_numpy() for c in ("x", "y", "id"))
+        self.xs, self.ys = np.unique(x), np.unique(y)
+        keys = np.searchsorted(self.xs, x) * max(1, len(self.ys)) + np.searchsorted(self.ys, y)
+        order = np.argsort(keys)
+        self.keys, self.ids = keys[order], ids[order]
+
+    def ids_of(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """-1 for a pair that is not here."""
+        if not len(self.keys):
+            return np.full(len(x), -1, dtype=np.int64)
+        i, j = (np.minimum(np.searchsorted(known, z), len(known) - 1) for known, z in ((self.xs, x), (self.ys, y)))
+        key = i * len(self.ys) + j
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.xs[i] == x) & (self.ys[j] == y) & (self.keys[at] == key), self.ids[at], -1)
+
+
 def _sequence(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Global symbols in a row (-1: none) as distinct symbols in ascending order and positions among them. What has no neighbour goes."""
     some = values >= 0
@@ -152,31 +174,37 @@ def _sequence(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return symbols, out
 
 
-def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, codes, places, ids): the block's symbols of this level by their place in what the codes (level 1: words,
-    else pairs) list."""
-    for batch in batches:
-        for i in range(len(batch)):
-            codes = _unpacked(batch.column("codes")[i].as_py())
-            if "symbols" in batch.schema.names:
-                spots, keys = _pairs(codes)
-                distinct, where = np.unique(keys, return_inverse=True)
-                listed = np.full(max(len(codes) - 1, 0), -1, dtype=np.int64)
-                listed[spots] = where
-                size = len(distinct)
-            else:
-                listed, size = codes, int(codes.max(initial=-1)) + 1
-            table = np.full(size + 1, -1, dtype=np.int64)  # the last one is for -1
-            for name in {"heads", "found"} & set(batch.schema.names):
-                rows = batch.column(name)[i].values
+def _encode(head: PairHead | dict):
+    """The block's symbols of this level and the text as positions among them. The codes list words (level 1, ``head`` as from
+    ``head_table``) or symbols, whose distinct pairs are looked up; ``found`` has the symbols that the head lacks, by place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                codes = _unpacked(batch.column("codes")[i].as_py())
+                if isinstance(head, dict):
+                    listed, words = codes, batch.column("words")[i].values
+                    there, ids = _in_head(words, batch.column("lang")[i].as_py(), head)
+                    table = np.full(len(words) + 1, -1, dtype=np.int64)  # the last one is for -1
+                    table[np.flatnonzero(there)] = ids
+                else:
+                    spots, keys = _pairs(codes)
+                    distinct, where = np.unique(keys, return_inverse=True)
+                    listed = np.full(max(len(codes) - 1, 0), -1, dtype=np.int64)
+                    listed[spots] = where
+                    symbols = batch.column("symbols")[i].values.to_numpy()
+                    table = np.append(head.ids_of(symbols[distinct >> 32], symbols[distinct & 0xFFFFFFFF]), -1)
+                rows = batch.column("found")[i].values
                 if rows is not None:
                     table[rows.field("place").to_numpy()] = rows.field("id").to_numpy()
-            symbols, out = _sequence(table[listed])
-            if len(symbols):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("block").slice(i, 1), pa.array([symbols], pa.list_(pa.int64())), pa.array([_packed(out)])],
-                    names=["block", "symbols", "codes"],
-                )
+                symbols, out = _sequence(table[listed])
+                if len(symbols):
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("block").slice(i, 1), pa.array([symbols], pa.list_(pa.int64())), pa.array([_packed(out)])],
+                        names=["block", "symbols", "codes"],
+                    )
+
+    return run
 
 
 _LEVEL = "block long, symbols array<long>, codes binary"
@@ -246,9 +274,6 @@ def pair_filter(frequent: DataFrame, bits: int) -> np.ndarray:
     return table
 
 
-_PLACES = "array<struct<place: bigint, id: bigint>>"
-
-
 def head_table(words: DataFrame, size: int) -> dict[str, tuple[pa.Array, np.ndarray]]:
     """The most frequent words of each language with their ids, ``size`` x ``HEAD_BYTES`` bytes of words at most."""
     top = words.orderBy("id").limit(size).filter(F.octet_length("word") <= HEAD_BYTES).select("lang", "word", "id").toArrow().combine_chunks()
@@ -268,18 +293,6 @@ def _in_head(words: pa.Array, lang: str, heads: dict) -> tuple[np.ndarray, np.nd
     return at >= 0, ids[at[at >= 0]]
 
 
-def _with_heads(heads: dict):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(len(batch)):
-                there, ids = _in_head(batch.column("words")[i].values, batch.column("lang")[i].as_py(), heads)
-                rows = pa.StructArray.from_arrays([pa.array(np.flatnonzero(there)), pa.array(ids, pa.int64())], names=["place", "id"])
-                found = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
-                yield pa.RecordBatch.from_arrays([batch.column("block").slice(i, 1), batch.column("codes").slice(i, 1), found], names=["block", "codes", "heads"])
-
-    return run
-
-
 def _tails(heads: dict, table: np.ndarray, bits: int):
     """The block's words that are not in the head table and that the bitmap lets pass."""
 
@@ -309,12 +322,18 @@ def first_level(made: DataFrame, words: DataFrame, sizes: Sizes) -> DataFrame:
     known = pair_filter(words.select(F.xxhash64("lang").alias("x"), F.xxhash64("word").alias("y")), sizes.filter_bits)
     tails = made.select("block", "lang", "words").mapInArrow(_tails(heads, known, sizes.filter_bits), "block long, place long, lang string, word string")
     placed = tails.join(words.select("lang", "word", "id").hint("merge"), ["lang", "word"]).select("block", "place", "id")
-    lists = placed.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("found"))
-    headed = made.select("block", "lang", "words", "codes").mapInArrow(_with_heads(heads), f"block long, codes binary, heads {_PLACES}")
-    return store.keep(headed.join(lists.hint("merge"), "block", "left").mapInArrow(_encode, _LEVEL), "level")
+    joined = made.select("block", "lang", "words", "codes").join(_lists(placed), "block", "left")
+    return store.keep(joined.mapInArrow(_encode(heads), _LEVEL), "level")
+
+
+def _lists(placed: DataFrame) -> DataFrame:
+    """(block, found): symbols by their place, bounded by the block. Stored, so the join knows how large it is."""
+    return store.keep(placed.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("found")), "lists")
+
 
+def _sift(head: PairHead, table: np.ndarray, bits: int):
+    """The block's distinct pairs that are not in the head and that the bitmap lets pass."""
 
-def _sift(table: np.ndarray, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
@@ -322,17 +341,20 @@ def _sift(table: np.ndarray, bits: int):
                 keys = np.unique(_pairs(_unpacked(batch.column("codes")[i].as_py()))[1])
                 x, y = symbols[keys >> 32], symbols[keys & 0xFFFFFFFF]
                 at = _bit(x, y, bits)
-                there = np.flatnonzero(table[at >> 5] >> (at & 31).astype(np.uint32) & 1)
+                there = np.flatnonzero((table[at >> 5] >> (at & 31).astype(np.uint32) & 1 == 1) & (head.ids_of(x, y) < 0))
                 block = np.full(len(there), batch.column("block")[i].as_py(), dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(there), pa.array(x[there]), pa.array(y[there])], names=["block", "place", "x", "y"])
 
     return run
 
 
-def _next_level(level: DataFrame, placed: DataFrame) -> DataFrame:
-    """level: stored blocks; placed: (block, place, id). Blocks in symbols of the next level; a block's list is bounded by the block."""
-    lists = placed.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("found"))
-    return store.keep(level.join(lists.hint("merge"), "block").mapInArrow(_encode, _LEVEL), "level")
+def next_level(level: DataFrame, frequent: DataFrame, sizes: Sizes) -> DataFrame:
+    """Blocks in symbols of the next level: the frequent pairs of this one."""
+    head = PairHead(frequent, sizes.head)
+    known = pair_filter(frequent, sizes.filter_bits)
+    sifted = level.mapInArrow(_sift(head, known, sizes.filter_bits), "block long, place long, x long, y long")
+    placed = sifted.join(frequent.select("x", "y", "id").hint("merge"), ["x", "y"]).select("block", "place", "id")
+    return store.keep(level.join(_lists(placed), "block", "left").mapInArrow(_encode(head), _LEVEL), "level")
 
 
 def phrases(made: DataFrame, min_count: int = MIN_COUNT, sizes: Sizes = Sizes()) -> Iterator[DataFrame]:
@@ -357,9 +379,7 @@ def phrases(made: DataFrame, min_count: int = MIN_COUNT, sizes: Sizes = Sizes())
         )
         yield known
         if size < LONGEST:
-            sifted = level.select("block", "symbols", "codes").mapInArrow(_sift(pair_filter(frequent, sizes.filter_bits), sizes.filter_bits), "block long, place long, x long, y long")
-            placed = sifted.join(frequent.select("x", "y", "id").hint("merge"), ["x", "y"]).select("block", "place", "id")
-            level = _next_level(level, placed)
+            level = next_level(level, frequent, sizes)
 
 
 def collocations(
