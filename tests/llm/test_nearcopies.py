@@ -3,7 +3,9 @@
 import itertools
 import random
 
-from trustflow.llm import nearcopies, simhash
+from pyspark.sql import functions as F
+
+from trustflow.llm import nearcopies, simhash, store
 
 SCHEMA = "doc_id long, text string"
 
@@ -61,3 +63,55 @@ def test_threshold_is_exact():
     assert nearcopies.similar(nearcopies.shingles(a), nearcopies.shingles(a[:40]))  # 36 of 45
     assert not nearcopies.similar(nearcopies.shingles(a), nearcopies.shingles(a[:39]))
     assert not nearcopies.similar(set(), set())
+
+
+def one_group(n, words, seed):
+    """Copies of one text, each with words of its own: most pairs are alike, but below 0.8."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(3000)}" for _ in range(words)]
+    rows = []
+    for _ in range(n):
+        copy = list(base)
+        for i in sorted(rng.sample(range(words), rng.randint(1, words // 20)), reverse=True):
+            copy[i : i + 1] = rng.choice([[f"x{rng.randrange(10**7)}"], [], [copy[i], f"y{rng.randrange(10**7)}"], [f"z{rng.randrange(3)}"]])
+        rows.append(" ".join(copy))
+    return rows
+
+
+def keyed(spark, rows):
+    df = store.keep(spark.createDataFrame(list(enumerate(rows)), "rid long, text string"), "t")
+    signs = store.keep(nearcopies.signed(df.select("rid", F.col("rid").alias("id"), F.lit(0).cast("long").alias("tie"), "text")), "s")
+    return df, signs
+
+
+def test_large_group_of_texts_alike_is_whole(spark):
+    rows = one_group(220, 150, 3) + one_group(60, 40, 4) + planted(random.Random(5))[:60]
+    near = sum(similarity(a, b) >= 0.8 for a, b in itertools.combinations(rows[:220], 2))
+    assert 0.05 < near / (220 * 219 / 2) < 0.7
+    df, signs = keyed(spark, rows)
+    for small in (8, nearcopies.SMALL):
+        labels = {r.key: r.label for r in nearcopies.groups(signs, df, small).collect()}
+        kept = {i for i, t in enumerate(rows) if labels[nearcopies.key_of(nearcopies.words_of(t.encode()))] == i}
+        assert kept == kept_by_all_pairs(rows)
+
+
+def test_work_in_a_large_group_is_linear(spark):
+    """Texts of one group, of which hardly any are near copies: their buckets hold all pairs, the filters leave few."""
+    for n in (300, 900):
+        rng = random.Random(n)
+        base = [f"w{i}" for i in range(120)]
+        rows = []
+        for _ in range(n):
+            copy = list(base)
+            for i in rng.sample(range(0, 120, 5), rng.randint(5, 8)):
+                copy[i] = f"x{rng.randrange(10**7)}"
+            rows.append(" ".join(copy))
+        df, signs = keyed(spark, rows)
+        nodes = store.keep(signs.select(F.col("rid").alias("node"), "buckets"), "n")
+        found = nearcopies.members(nodes)
+        at = nearcopies.open_members(found, spark.createDataFrame([], "node long, label long"))
+        all_pairs = found.groupBy("bucket").agg((F.count("*") * (F.count("*") - 1) / 2).alias("p")).agg(F.sum("p")).first()[0]
+        first = nearcopies.first_pairs(found).count()
+        others = nearcopies.large_pairs(at, df.select(F.col("rid").alias("node"), "text")).count()
+        assert first <= 2 * nearcopies.BANDS * n  # two for each member of a bucket
+        assert others <= n < all_pairs / 20
