@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trustflow.operators import enrich, facts, marts, reconcile
+from trustflow.operators import enrich, facts, marts
 from trustflow.plans import fixture_sql as sql
 from trustflow.plans import fixtures as fx
 from trustflow.plans.q_events import durable_events, is_late
 from trustflow.plans.registry import query
+from trustflow.session import scratch_dir
+from trustflow.sources import entities
 
 DIMS = ("specialty", "device_type", "platform")
+REBUILD_BUCKETS = 32
 
 # Ordered stages by plain SQL: each stage is the earliest event at or after the one before.
 _JOURNEYS = (
@@ -233,16 +236,16 @@ def metric_incomplete(spark, sf):
 
 @query("affected_rebuild", f"WITH {JOURNEYS} SELECT {_FACT_ROW} FROM fct")
 def affected_rebuild(spark, sf):
-    """Facts without the late events, then only the touched journeys rebuilt: equal to a full build."""
-    events = fx.unique_events(spark, sf)
-    late = events.where(is_late())
-    built = facts.journey_fact(durable_events(spark, sf))
-    touched = reconcile.affected_ids(late, "booking_journey_id")
-    return journey_row(
-        reconcile.rebuild_affected(
-            built, events, touched, "booking_journey_id", facts.journey_fact
-        )
-    )
+    """Facts without the late events, then only the buckets of touched journeys rebuilt: equal to a full build."""
+    key, root = "booking_journey_id", scratch_dir(spark, "journeys")
+    events = entities.EntityTable(f"{root}/events", key, REBUILD_BUCKETS)
+    built = entities.EntityTable(f"{root}/facts", key, REBUILD_BUCKETS)
+    events.append(durable_events(spark, sf), "load")
+    built.append(facts.journey_fact(events.read(spark)), "load")
+    late = fx.unique_events(spark, sf).where(is_late())
+    events.append(late, "late")
+    entities.rebuild(events, built, late, facts.journey_fact, "late")
+    return journey_row(built.read(spark))
 
 
 def as_of():
