@@ -69,6 +69,19 @@ def test_structure_stops_at_the_first_failing_stage(spark):
     assert codes(spark, *[e for e, _ in cases]) == [c for _, c in cases]
 
 
+def test_repeated_keys_and_broken_text(spark):
+    good = json.dumps(view())
+    later = good[:-1] + ', "device_type": 5}'
+    mended = '{"device_type": 5, ' + good[1:]
+    assert codes(spark, later, mended, "{}", "{", "null") == [["AVRO_SCHEMA_INVALID"], [], *[["AVRO_SCHEMA_INVALID"]] * 3]
+
+
+def test_text_is_parsed_once(spark):
+    df = validate_json(spark.createDataFrame([("{}",)], "json STRING"), "json", CONTRACT)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and "json_object_keys" not in plan
+
+
 def test_absent_fields_with_defaults(spark):
     short = {k: v for k, v in view().items() if k not in ("appointment_id", "schema_version")}
     assert codes(spark, short) == [["FIELD_REQUIRED:schema_version", "SCHEMA_VERSION_UNSUPPORTED"]]

@@ -1,8 +1,8 @@
 """Validation of events that arrive as JSON text: structure first, then the business rules.
 
 The three structural stages stop at the first failing one: unknown fields, timestamps,
-typed fields. Each field is parsed as a variant, which keeps its JSON type, so a number in a
-text field is caught.
+typed fields. The text is parsed once, into a map of variants: its keys show unknown fields, and a variant keeps
+its JSON type, so a number in a text field is caught. Of a repeated key the last value counts.
 """
 
 from __future__ import annotations
@@ -18,19 +18,24 @@ SCHEMA_INVALID = "AVRO_SCHEMA_INVALID"
 INT_MIN, INT_MAX = -2147483648, 2147483647
 
 
+def _value(name: str) -> Column:
+    """Keys and values stand in reverse order, so the first match is the last of its name; NULL when absent."""
+    return F.get("_values", F.array_position("_keys", F.lit(name)).cast("int") - 1)
+
+
 def _kind(name: str) -> Column:
     """JSON type of a field: NULL when absent, VOID for an explicit null."""
-    return F.schema_of_variant(f"_v.{name}")
+    return F.schema_of_variant(_value(name))
 
 
 def _text(name: str) -> Column:
-    return F.try_variant_get(f"_v.{name}", "$", "string")
+    return F.try_variant_get(_value(name), "$", "string")
 
 
-def unknown_fields(json_col: str, contract: Contract) -> Column:
+def unknown_fields(contract: Contract) -> Column:
+    """Also true for what is no JSON object."""
     known = F.array(*[F.lit(n) for n in contract.names])
-    extra = F.size(F.array_except(F.json_object_keys(json_col), known)) > 0
-    return F.coalesce(extra, F.lit(True))
+    return F.coalesce(F.size(F.array_except("_keys", known)) > 0, F.lit(True))
 
 
 def timestamp_codes(contract: Contract) -> list[Column]:
@@ -69,10 +74,11 @@ def _typed(field: Field) -> Column:
 
 def parsed(df: DataFrame, json_col: str, contract: Contract) -> DataFrame:
     """JSON types and texts per field, then typed columns as struct ``event``, each made once."""
-    fields = ", ".join(f"{n} VARIANT" for n in contract.names)
     kinds = [_kind(n).alias(f"_kind_{n}") for n in contract.names]
     texts = [_text(n).alias(f"_text_{n}") for n in contract.names]
-    read = df.withColumn("_v", F.from_json(json_col, fields)).select("*", *kinds, *texts)
+    read = df.withColumn("_map", F.from_json(json_col, "MAP<STRING, VARIANT>"))
+    read = read.withColumns({"_keys": F.reverse(F.map_keys("_map")), "_values": F.reverse(F.map_values("_map"))})
+    read = read.select("*", *kinds, *texts)
     return read.withColumn("event", F.struct(*[_typed(f) for f in contract.fields]))
 
 
@@ -80,7 +86,7 @@ def validate_json(df: DataFrame, json_col: str, contract: Contract) -> DataFrame
     """Adds ``error_codes`` and the typed columns as struct ``event``."""
     stamps = F.concat_ws(",", *timestamp_codes(contract))
     text = (
-        F.when(unknown_fields(json_col, contract), F.lit(SCHEMA_INVALID))
+        F.when(unknown_fields(contract), F.lit(SCHEMA_INVALID))
         .when(stamps != "", stamps)
         .when(structure_invalid(contract), F.lit(SCHEMA_INVALID))
         .otherwise(rules.codes_text(contract, lambda n: F.col(f"event.{n}")))
