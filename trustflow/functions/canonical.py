@@ -9,15 +9,44 @@ from trustflow.contract import Contract
 from trustflow.functions.times import iso_offset
 
 
+#: Fixed values of JSON text: what is escaped, and the short forms. All else is written as UTF-16 units in lower-case hex.
+UNSAFE = r'[^ -~]|["\\]'
+SHORT_ESCAPES = {'"': r"\"", "\\": r"\\", "\n": r"\n", "\r": r"\r", "\t": r"\t", "\f": r"\f", "\b": r"\b"}
+SAFE_RUN_OR_ONE = r'(?s)[ !#-\[\]-~]+|.'
+
+
+def _escaped_part(part: Column) -> Column:
+    units = F.lower(F.hex(F.encode(part, "UTF-16BE")))
+    out = F.when(~part.rlike(UNSAFE), part)
+    for char, short in SHORT_ESCAPES.items():
+        out = out.when(part == char, F.lit(short))
+    return out.otherwise(F.regexp_replace(units, "(.{4})", r"\\u$1"))
+
+
+def json_string(text: Column) -> Column:
+    """A text between quotes in ASCII alone; characters beyond 16 bits become a surrogate pair."""
+    parts = F.regexp_extract_all(text, F.lit(SAFE_RUN_OR_ONE), F.lit(0))
+    return F.concat(F.lit('"'), F.array_join(F.transform(parts, _escaped_part), ""), F.lit('"'))
+
+
 def event_json(event: Column, contract: Contract) -> Column:
-    """Sorted keys, NULL fields kept, ISO timestamps."""
-    kinds = {f.name: f.kind for f in contract.fields}
-    parts = [
-        (iso_offset(event[n]) if kinds[n] == "timestamp" else event[n]).alias(n)
-        for n in sorted(contract.names)
-    ]
-    text = F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
-    return F.when(event.isNotNull(), text)
+    """Sorted keys, NULL fields kept, ISO timestamps, ASCII; ``", "`` between members and ``": "`` after keys.
+
+    Whether anything must be escaped is asked once per event."""
+    fields = sorted(contract.fields, key=lambda f: f.name)
+    texts = [event[f.name] for f in fields if f.kind not in ("timestamp", "int")]
+
+    def written(escape) -> Column:
+        quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+        kinds = {"timestamp": lambda c: quoted(iso_offset(c)), "int": lambda c: c.cast("string")}
+        members = [
+            F.concat(F.lit(f'"{f.name}": '), F.coalesce(kinds.get(f.kind, escape or quoted)(event[f.name]), F.lit("null")))
+            for f in fields
+        ]
+        return F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}"))
+
+    unsafe = F.concat_ws("", *texts).rlike(UNSAFE)
+    return F.when(event.isNotNull(), F.when(unsafe, written(json_string)).otherwise(written(None)))
 
 
 def canonical_schema(text: Column) -> Column:

@@ -217,15 +217,21 @@ def _iso(c: str) -> str:
     )
 
 
-_JSON = ", ".join(
-    f"'{c}', {_iso(c) if c in fx.CONTRACT.timestamps else c}" for c in sorted(fx.CONTRACT.names)
-)
+def _member(name: str) -> str:
+    if name == "schema_version":
+        return f"concat('\"{name}\": ', coalesce(CAST({name} AS VARCHAR), 'null'))"
+    text = _iso(name) if name in fx.CONTRACT.timestamps else name
+    return f"concat('\"{name}\": ', coalesce('\"' || {text} || '\"', 'null'))"
+
+
+# The given data need no escapes; those are tested against another JSON writer.
+_JSON = ", ".join(_member(c) for c in sorted(fx.CONTRACT.names))
 
 
 @query(
     "canonical_json",
     f"WITH {sql.EV} SELECT concat(event_id, ':', attempt) AS id, "
-    f"CAST(json_object({_JSON}) AS VARCHAR) AS event_json FROM ev",
+    f"concat('{{', concat_ws(', ', {_JSON}), '}}') AS event_json FROM ev",
 )
 def canonical_json(spark, sf):
     rows = fx.ev(spark, sf).withColumn("event", F.struct(*fx.CONTRACT.names))
