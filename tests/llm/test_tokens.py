@@ -51,3 +51,35 @@ def test_empty_and_broken_files(spark, tmp_path):
     (tmp_path / "odd.tokens").write_bytes(b"abc")
     with pytest.raises(PySparkException):
         tokens.counts(tokens.files_in(spark, str(tmp_path)), str(tmp_path)).collect()
+
+
+def test_long_white_space_keeps_its_ids():
+    with open(tokens.TOKENIZER, "rb") as f:
+        ranks = f.read()
+    plain, encode = tokens.encoding(ranks).encode_ordinary, tokens.encoder(ranks)
+    rng = np.random.default_rng(3)
+    for space in (" ", "\n", "\t", "\r\n", " \n", "\u3000", "\xa0 ", "\x85", "\u2003\u2028"):
+        for n in (999, 1000, 1001, 2500):
+            for before, after in (("", ""), ("a", ""), ("", "b"), ("it's", "'s 1"), ("x.", "...\x1f"), ("\x1c", "\x1c\u200b")):
+                text = before + (space * n)[:n] + after
+                assert encode(text) == plain(text), (space, n, before, after)
+    for _ in range(20):
+        text = "".join(rng.choice(["a", "b ", "\n" * 1200, " " * 1500, "7", "'s", "."], 30))
+        assert encode(text) == plain(text)
+
+
+def test_very_long_white_space(spark, tmp_path):
+    rows = [(1, " " * 10_000_000 + "x"), (2, "\n" * 10_000_000), (3, "a" + "\r\n" * 3_000_000 + "b")]
+    folder = str(tmp_path / "t")
+    places = tokens.write(spark.createDataFrame(rows, "id long, text string"), folder)
+    got = tokens.counts(tokens.files_in(spark, folder), folder).join(places, ["file", "ordinal"]).collect()
+    assert len(got) == 3 and all(r.n_tokens > 1 for r in got)
+
+
+def test_many_blocks_are_many_tasks(spark, tmp_path):
+    np.full(2000, 9, dtype="<u2").tofile(tmp_path / "a.tokens")
+    files = tokens.files_in(spark, str(tmp_path))
+    got = tokens.counts(files, str(tmp_path), separator=9, block_tokens=1)
+    assert got.count() == 2000
+    # One file per task that found something.
+    assert sum("separators" in f for f in got.inputFiles()) >= 2000 // tokens.TASK_BLOCKS

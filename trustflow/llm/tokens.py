@@ -10,6 +10,9 @@ separator - stitches the blocks: it numbers the documents and closes those that
 ``FILE_BYTES``), with a public tokenizer whose rank file is a parameter. Its result, kept as a table, says which
 document stands at which place in which file; files of lost or repeated tasks are in no row of it.
 
+Long runs of white space are cut by the same rule before the tokenizer's own pattern sees them, because its
+look-ahead needs stack for each character of a run.
+
 Defined results: null and empty texts have no tokens but their separator. Ids after the last separator are a document
 that is not closed (``closed`` is false). Empty files and empty blocks have no documents. Repeated or null
 document ids stay separate documents. A file whose size is not a whole number of ids is an error.
@@ -18,6 +21,7 @@ document ids stay separate documents. A file whose size is not a whole number of
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -33,22 +37,45 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 SEPARATOR = 50256  # the first id after the ranks
 BLOCK_TOKENS = 8 << 20
 FILE_BYTES = 1 << 30
+TASK_BLOCKS = 16  # blocks that one task scans, where there are more than cores
 #: Fixed value: how the tokenizer cuts text into pieces.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Fixed value: the tokenizer's white space, in runs long enough to be cut out.
+LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
+
 PLACES = "file string, ordinal long, id long"
 
 
-def encoding(ranks: bytes) -> tiktoken.Encoding:
+def encoding(ranks: bytes, pieces: str = PIECES) -> tiktoken.Encoding:
     table = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, ranks.splitlines())}
-    return tiktoken.Encoding("given", pat_str=PIECES, mergeable_ranks=table, special_tokens={})
+    return tiktoken.Encoding("given", pat_str=pieces, mergeable_ranks=table, special_tokens={})
+
+
+def encoder(ranks: bytes):
+    """Text to ids, the same as the encoding's own for white space of any length.
+
+    A run before other text is one piece without its last character, which begins the next piece; a run at the end is
+    one piece."""
+    given, whole = encoding(ranks), encoding(ranks, r"(?s).+")
+
+    def encode(text: str) -> list[int]:
+        ids, at = [], 0
+        for run in LONG_SPACE.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            ids += given.encode_ordinary(text[at : run.start()])
+            ids += whole.encode_ordinary(text[run.start() : end])
+            at = end
+        return ids + given.encode_ordinary(text[at:])
+
+    return encode
 
 
 def _write(folder: str, sent, separator: int, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = fs.FileSystem.from_uri(folder)
         files.create_dir(root, recursive=True)
-        encode = encoding(sent.value).encode_ordinary
+        encode = encoder(sent.value)
         out, name, at, ordinal = None, "", 0, 0
         try:
             for batch in batches:
@@ -123,7 +150,11 @@ def counts(files: DataFrame, folder: str, separator: int = SEPARATOR, dtype: str
     blocks = sized.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("ids") - 1) / block_tokens))))
     first = F.col("block") * block_tokens
     blocks = blocks.select("file", "block", first.alias("first"), F.least(F.lit(block_tokens), F.col("ids") - first).alias("count"))
-    found = blocks.repartition("file", "block").mapInArrow(
+    # Rows of a few bytes that stand for whole blocks: without a count adaptive execution would merge them into one task.
+    spark = files.sparkSession
+    n_blocks = blocks.count()
+    tasks = max(1, min(n_blocks, max(spark.sparkContext.defaultParallelism, -(-n_blocks // TASK_BLOCKS))))
+    found = blocks.repartition(tasks, "file", "block").mapInArrow(
         _scan(store.uri(folder), separator, dtype), "file string, block long, k long, at long, before long"
     )
     found = store.keep(found, "separators")
