@@ -94,3 +94,60 @@ def test_empty_table_and_no_words(spark):
 def test_running_rows_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a b", "s", 9), (1, "a b", "s", 9)], SCHEMA + ", size int")
     assert [(r["size"], r.taken) for r in m.mix(df, block_words=2).collect()] == [(2, 2), (2, 2)]
+
+
+def texts_of(rng, n=300):
+    """Documents whose words are all different."""
+    return [(i, " \n".join(f"w{i}.{j}" for j in range(t.count("w"))) if t and t.strip() else t, s) for i, t, s in rows_of(rng, n)]
+
+
+def test_blocks_rebuild_every_document(spark):
+    rows = texts_of(np.random.default_rng(7))
+    df = spark.createDataFrame(rows, SCHEMA)
+    sources, numbered = m._numbered(df, "doc_id", "text", "source", (5, 2, 1), 3, 16, True)
+    found = m.blocks(m.layout(numbered, 20), 16).orderBy("source_no", "block").collect()
+    n_blocks = {r.source_no: r.n_blocks for r in sources.collect() if r.n_blocks}
+    assert {n: sorted(b.block for b in found if b.source_no == n) for n in n_blocks} == {n: list(range(k)) for n, k in n_blocks.items()}
+    texts = {}
+    for b in found:
+        words = b.words.split(" ")
+        assert len(words) == sum(p.n for p in b.parts) and (len(words) == 16 or b.block == n_blocks[b.source_no] - 1)
+        for p in b.parts:
+            texts.setdefault(p.id, []).extend(words[: p.n])
+            words = words[p.n :]
+    assert texts == {i: t.split() for i, t, _ in rows if t and t.split()}
+
+
+def test_shards_hold_the_mix(spark):
+    rows = texts_of(np.random.default_rng(8))
+    df = spark.createDataFrame(rows, SCHEMA)
+    mixed, report = m.write_mix(df, block_words=16, shard_slots=64)
+    got = mixed.collect()
+    places = sorted((r.shard, r.slot) for r in got)
+    shards = {s for s, _ in places}
+    assert len(set(places)) == len(places) and shards == set(range(len(shards))) and len(shards) > 3
+    assert all([x for s, x in places if s == n] == list(range(64)) for n in shards - {max(shards)})
+    source = {i: s for i, _, s in rows}
+    taken = {}
+    for r in got:
+        words = r.words.split(" ")
+        for p in r.parts:
+            assert source[p.id] == r.source and {w.split(".")[0] for w in words[: p.n]} == {f"w{p.id}"}
+            words = words[p.n :]
+            taken[p.id] = taken.get(p.id, 0) + p.n
+        assert not words
+    want = {r.id: r.taken for r in m.mix(df, block_words=16, shard_slots=64).collect()}
+    assert taken == {i: n for i, n in want.items() if n}
+    assert {r.id: r.taken for r in report.collect()} == want
+    assert sum(r.taken for r in m.taken_of(mixed).collect()) == sum(want.values())
+    again, _ = m.write_mix(spark.createDataFrame(rows[::-1], SCHEMA).repartition(5), block_words=16, shard_slots=64)
+    assert {(r.shard, r.slot, r.words) for r in again.collect()} == {(r.shard, r.slot, r.words) for r in got}
+
+
+def test_shards_of_odd_rows(spark):
+    for rows, n in ([], 0), ([(1, None, None), (None, " ", "a")], 2):
+        mixed, report = m.write_mix(spark.createDataFrame(rows, SCHEMA))
+        assert (mixed.count(), report.count()) == (0, n)
+    long = spark.createDataFrame([(None, "x " * 300_000, None), (2, "a", "s"), (2, "a", "s")], SCHEMA)
+    mixed, report = m.write_mix(long)
+    assert sum(p.n for r in mixed.collect() for p in r.parts if p.id is None) > 290_000 and report.count() == 3

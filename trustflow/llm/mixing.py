@@ -13,7 +13,9 @@
 4. Slots. The n-th slot of a source is the n-th block of a pseudorandom permutation of its
    block numbers (Feistel network with cycle walking), a new permutation for each pass. A block is
    thus never used a further time before all others of its source have been.
-5. Blocks and slots are joined by source and block number.
+5. Blocks and slots are joined by source and block number. ``write_mix`` cuts the documents' words into blocks and
+   writes the mixed text, slot by slot; ``mix`` only needs to know how many words are taken of each document, so it joins
+   the lengths of the same stretches and moves no text. Both give the same counts.
 
 Defined results: null and empty texts have size 0 and nothing is taken of them. Null is a source of its
 own. Repeated rows are separate documents. All draws are functions of the data and the seed, so reruns agree,
@@ -22,11 +24,14 @@ however the rows are partitioned. Without any words every target is 0.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from trustflow.llm import store
 
@@ -183,15 +188,84 @@ def spans(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return out.withColumn("overlap", overlap.cast("long"))
 
 
-def mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
-        repeats: int = REPEATS, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
-    """(id, source, size, source_size, target, taken) for each document."""
-    spark = documents.sparkSession
+def _numbered(documents: DataFrame, id_col, text_col, source_col, weights, repeats, block_words, with_text: bool):
+    """Stored sources, and the documents with their source's number; text only where it is asked for."""
     docs = sized(documents, text_col, source_col)
-    docs = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"row.{id_col}").alias("id"), "size", "source", "text_hash")
+    text = [F.col(f"row.{text_col}").alias("text")] if with_text else []
+    docs = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"row.{id_col}").alias("id"), "size", "source", "text_hash", *text)
     docs = store.keep(docs, "sized")
     sources = store.keep(targets(docs, weights, repeats, block_words), "sources")
     numbered = docs.join(sources.select(F.col("source").alias("of"), "source_no", "n_docs"), F.col("source").eqNullSafe(F.col("of")))
+    return sources, numbered.drop("of", "source")
+
+
+def _cut(block_words: int, of_id, rows: int = 4096):
+    word, id_type = re.compile(WORD), to_arrow_schema(of_id).field(0).type
+
+    def stretches(source_no, start, rid, text, doc):
+        words = (m.group() for m in word.finditer(text or ""))
+        while part := list(islice(words, block_words - start % block_words)):
+            yield source_no, start // block_words, start % block_words, rid, len(part), " ".join(part), doc
+            start += len(part)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int64()] * 5 + [pa.string(), id_type]
+        for batch in batches:
+            docs = zip(*(batch.column(i) for i in range(5)), strict=True)
+            found = (x for d in docs for x in stretches(*(v.as_py() for v in d)))
+            while part := list(islice(found, rows)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*part, strict=True), types, strict=True)],
+                    names=["source_no", "block", "place", "rid", "n", "words", "id"],
+                )
+
+    return run
+
+
+def blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """docs: as ``layout`` returns them, with text. One row per block: source_no, block, words (joined by blanks) and parts, the
+    documents (rid, id, n words) that it was cut from in order. A block has at most ``block_words`` parts."""
+    schema = "source_no long, block long, place long, rid long, n long, words string"
+    kind = docs.schema["id"].dataType
+    rows = docs.select(F.col("source_no").cast("long"), "start", "rid", "text", "id").mapInArrow(
+        _cut(block_words, docs.select("id").schema), f"{schema}, id {kind.simpleString()}"
+    )
+    parts = F.sort_array(F.collect_list(F.struct("place", "rid", "id", "n", "words")))
+    found = rows.groupBy("source_no", "block").agg(parts.alias("parts"))
+    return found.select(
+        "source_no", "block", F.array_join("parts.words", " ").alias("words"),
+        F.transform("parts", lambda p: F.struct(p["rid"].alias("rid"), p["id"].alias("id"), p["n"].alias("n"))).alias("parts"),
+    )
+
+
+def write_mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
+              repeats: int = REPEATS, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """The mix as text, stored: shard, slot, source, block, words, parts (rid, id, n), each shard whole in one file and in the order of
+    its slots; and the report of ``mix``, counted over what was stored. Texts move three times: to their place in the
+    source, to their blocks, to their shards."""
+    spark = documents.sparkSession
+    sources, numbered = _numbered(documents, id_col, text_col, source_col, weights, repeats, block_words, with_text=True)
+    places = store.keep(slots(spark, sources, shard_slots, seed), "slots")
+    placed = places.join(blocks(layout(numbered), block_words).hint("merge"), ["source_no", "block"])
+    placed = placed.join(sources.select("source_no", "source"), "source_no")
+    placed = placed.repartition("shard").sortWithinPartitions("shard", "slot")
+    mixed = store.keep(placed.select("shard", "slot", "source", "block", "words", "parts"), "shards")
+    report = numbered.select("rid", "id", "size", "source_no").join(store.keep(taken_of(mixed), "taken"), "rid", "left")
+    report = report.join(sources.select("source_no", "source", "source_size", "target"), "source_no")
+    taken = F.coalesce("taken", F.lit(0)).alias("taken")
+    return mixed, report.select("id", "source", "size", "source_size", "target", taken)
+
+
+def taken_of(mixed: DataFrame) -> DataFrame:
+    """(rid, taken): the words that stored shards hold of each document."""
+    return mixed.select(F.inline("parts")).groupBy("rid").agg(F.sum("n").alias("taken"))
+
+
+def mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
+        repeats: int = REPEATS, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
+    """(id, source, size, source_size, target, taken) for each document."""
+    spark = documents.sparkSession
+    sources, numbered = _numbered(documents, id_col, text_col, source_col, weights, repeats, block_words, with_text=False)
     # Stored, so that its size is known: the few rows that the slots unfold from say nothing about it.
     times = slots(spark, sources, shard_slots, seed).groupBy("source_no", "block").agg(F.count("*").alias("times"))
     times = store.keep(times, "times")
@@ -205,4 +279,4 @@ def mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 def op6(spark, sf_dir: str) -> DataFrame:
     documents = store.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(documents).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return write_mix(documents)[1].select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
