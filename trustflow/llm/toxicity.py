@@ -34,7 +34,6 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from trustflow.llm import store
 
 SAMPLE_ROWS = 20_000
-MAX_TERMS = 800
 FUZZY_LENGTH = 5
 CONTEXT = 48
 FOLDS = 5
@@ -45,11 +44,14 @@ QUOTES = "\"“”„«»‘’"
 REPORTING = frozenset("said says wrote writes called quote quoted sagte schrieb nannte zitat dit écrit appelé cité dijo escribió llamó cita".split())
 ADDRESS = frozenset("you your you're u du dich dir dein ihr tu te toi vous votre tú ti usted ustedes".split())
 
-_KEEP = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
+#: Letters and digits of any script, with the marks that combine with them.
+WORD = re.compile("(?:[^\\W_]+[\u0300-\u036f]*)+")
+_ASCII = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(128)) + b" " * 128
 
 
 def words_of(text: str | None) -> list[str]:
-    return text.lower().encode().translate(_KEEP).decode().split() if text else []
+    lower = text.lower() if text else ""
+    return lower.encode().translate(_ASCII).decode().split() if lower.isascii() else WORD.findall(lower)
 
 
 class Lexicon:
@@ -119,32 +121,34 @@ class Lexicon:
         return found if found is None or not found[1] or word not in self.words else None
 
 
-def _context(lower: str, word: str) -> tuple[int, int, int]:
-    """Occurrences of a hit: in quotation, in address, and all."""
-    quoted = addressed = total = 0
-    for m in re.finditer(rf"(?<!\w){re.escape(word)}(?!\w)", lower):
+def _contexts(lower: str, hits: dict[str, tuple[float, int]]) -> dict[str, list[int]]:
+    """Occurrences of each hit: in quotation, in address, and all. One pass over the text."""
+    out = {word: [0, 0, 0] for word in hits}
+    for m in WORD.finditer(lower):
+        if (counts := out.get(m[0])) is None:
+            continue
         left, right = lower[max(0, m.start() - CONTEXT) : m.start()], lower[m.end() : m.end() + CONTEXT]
         near = {*words_of(left), *words_of(right)}
         marked = any(sum(left.count(q) for q in pair) % 2 and any(q in right for q in pair) for pair in ('"', "“”„", "«»", "‘’"))
-        total += 1
-        quoted += bool(marked or near & REPORTING)
-        addressed += bool(near & ADDRESS)
-    return quoted, addressed, total
+        counts[0] += bool(marked or near & REPORTING)
+        counts[1] += bool(near & ADDRESS)
+        counts[2] += 1
+    return out
 
 
 def features(text: str | None, lexicon: Lexicon) -> list[float]:
     words = words_of(text)
     match = lexicon.match
-    hits = [(w, r) for w in set(words) if (r := match(w)) is not None]
+    hits = {w: r for w in sorted(set(words)) if (r := match(w)) is not None}
     direct = quoted = addressed = terms = 0.0
     if hits:
-        lower = text.lower()
-        for word, (weight, errors) in sorted(hits):
-            q, a, n = _context(lower, word)
+        contexts = _contexts(text.lower(), hits)
+        for word, (weight, errors) in hits.items():
+            q, a, n = contexts[word]
             share = MISSPELLED**errors
-            direct += share * weight * (1 - q / n if n else 1)
-            quoted += share * weight * q / n if n else 0
-            addressed += share * weight * a / n if n else 0
+            direct += share * weight * (1 - q / n)
+            quoted += share * weight * q / n
+            addressed += share * weight * a / n
             terms += share
     return [
         math.log1p(direct), math.log1p(quoted), math.log1p(addressed), math.log1p(terms),
@@ -189,7 +193,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     toxic, clean = Counter(), Counter()
     for batch in batches:
         for text, label in zip(batch.column("text"), batch.column("toxic"), strict=True):
-            (toxic if label.as_py() else clean).update({w for w in words_of(text.as_py()) if 4 <= len(w) <= 32})
+            (toxic if label.as_py() else clean).update(set(words_of(text.as_py())))
     words = list({*toxic, *clean})
     yield pa.RecordBatch.from_arrays(
         [pa.array(words, pa.string()), pa.array([toxic[w] for w in words], pa.int64()), pa.array([clean[w] for w in words], pa.int64())],
@@ -207,10 +211,10 @@ def _near(terms: dict[str, float]):
     return run
 
 
-def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, max_terms: int = MAX_TERMS):
+def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int):
     """Terms with their log odds: in five toxic rows or more, at least twenty times as likely there, and
-    beyond what chance gives (z of 3). Then the clean words of the sample that resemble a term.
-    Both come to the driver; the terms are at most max_terms, the words part of the bounded sample."""
+    beyond what chance gives (z of 3), all that there are. Then the clean words of the sample that resemble a term.
+    Both come to the driver; both are part of the words of the bounded sample."""
     counts = sample.mapInArrow(_word_counts, "word string, in_toxic long, in_clean long")
     counts = store.keep(counts.groupBy("word").agg(F.sum("in_toxic").alias("a"), F.sum("in_clean").alias("b")), "words")
     a, b = F.col("a") + 0.5, F.col("b") + 0.5
@@ -219,9 +223,8 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, max_terms: int
         counts.filter(F.col("a") >= 5)
         .select("word", odds.alias("weight"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
         .filter((F.col("weight") >= math.log(20)) & (F.col("z") >= 3))
-        .orderBy(F.desc("z"), "word").limit(max_terms)
     )
-    terms = {r.word: float(r.weight) for r in chosen.collect()}
+    terms = {r.word: float(r.weight) for r in sorted(chosen.collect(), key=lambda r: r.word)}
     near = counts.filter("b > 0").select("word").mapInArrow(_near(terms), "word string")
     return terms, frozenset(r.word for r in near.collect())
 
