@@ -83,6 +83,55 @@ def latency_profile(df: DataFrame, later: str, earlier: str, exact: bool = True)
     )
 
 
+SKETCH_BITS = 7
+
+
+def latency_sketch(df: DataFrame, later: str, earlier: str, by=(), bits: int = SKETCH_BITS) -> DataFrame:
+    """Mergeable sketch of the latencies of each group: columns ``by``, low, width, n.
+
+    A bucket holds the microseconds from ``low`` up to ``low + width``; its width is a power of two, at most
+    ``low / 2^bits``, or one. A group has at most ``(63 - bits) * 2^bits + 2`` buckets whatever its size, all
+    negative values are one with a NULL ``low``, and counting combines before the shuffle.
+    """
+    micros = (F.unix_micros(later) - F.unix_micros(earlier)).alias("_v")
+    shift = F.greatest(F.length(F.bin("_v")) - (bits + 1), F.lit(0))
+    usable = F.col("_v") >= 0
+    return (
+        df.select(*by, micros).where("_v IS NOT NULL").withColumn("_s", F.when(usable, shift))
+        .groupBy(*by, F.expr("shiftleft(shiftright(_v, _s), _s)").alias("low"), F.expr("shiftleft(1L, _s)").alias("width"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def latency_rollup(sketches: DataFrame, by=()) -> DataFrame:
+    """Merges sketches over all groups that ``by`` joins and reads percentiles off them.
+
+    A percentile is given by the bounds ``<name>_low`` and ``<name>_high`` of the bucket with the value of rank
+    ``floor(p * (measured - 1))``; the value lies from the lower up to, but not at, the upper one. Nothing is sorted but the
+    merged buckets of a group, whose number is bounded.
+    """
+    merged = sketches.groupBy(*by, "low", "width").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*by)
+    count = F.when(F.col("low").isNotNull(), F.col("n")).otherwise(0)
+    ranked = merged.select(
+        *by, "low", "width", "n", F.sum(count).over(group).alias("_measured"),
+        F.sum(count).over(group.orderBy("low").rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_upto"),
+    )
+    picks = []
+    for name, p in PERCENTILES.items():
+        rank = F.floor(p * (F.col("_measured") - 1))
+        here = F.col("low").isNotNull() & (F.col("_upto") - F.col("n") <= rank) & (rank < F.col("_upto"))
+        picks += [
+            (F.max(F.when(here, F.col("low"))) / 1e6).alias(f"{name}_low"),
+            (F.max(F.when(here, F.col("low") + F.col("width"))) / 1e6).alias(f"{name}_high"),
+        ]
+    return ranked.groupBy(*by).agg(
+        F.coalesce(F.max("_measured"), F.lit(0)).alias("measured"),
+        F.coalesce(F.sum(F.when(F.col("low").isNull(), F.col("n"))), F.lit(0)).alias("negative"),
+        *picks,
+    )
+
+
 def gold_latency(valid: DataFrame, publishes: DataFrame, buckets: str = "1 day") -> DataFrame:
     """Seconds from collection to the first publish that could contain the event.
 

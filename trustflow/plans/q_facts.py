@@ -134,29 +134,44 @@ def mart_funnel(spark, sf):
     return funnel_mart(spark, sf).withColumn("cohort_date", F.col("cohort_date").cast("string"))
 
 
-def _enriched_journeys(spark, sf):
-    """Attribution with the customer attributes recorded on the first view."""
-    events = enrich.enrich(fx.unique_events(spark, sf), fx.snapshot_v1(spark, sf), "v1")
-    dims = (*DIMS, "region", "membership_plan", "acquisition_channel", "customer_match_status")
-    return facts.journey_fact(events, dimensions=dims)
+def _segmented_journeys(spark, sf):
+    """Attribution with the customer attributes recorded on the first view.
+
+    Three of four views have a customer, a tenth of these one that no snapshot holds. Each event carries the attributes of the snapshot that was active at its
+    time, and a journey keeps those of its first view whatever later snapshots say.
+    """
+    number = F.floor(F.col("offset") / 2)
+    user = F.substring("anonymous_id", 6, 32).cast("bigint").cast("string")
+    seen = (F.col("event_name") == "provider_profile_viewed") & (number % 4 != 0)
+    held = F.when(user % 10 == 9, F.concat(F.lit("none"), user)).otherwise(user)
+    named = F.concat(F.lit("cus_"), F.lpad(held, F.greatest(F.lit(8), F.length(held)), F.lit("0")))
+    events = fx.unique_events(spark, sf).withColumn("customer_id", F.when(seen, named).otherwise(F.col("customer_id")))
+    before = F.col("event_time") < F.expr(sql.V2_AT)
+    enriched = enrich.enrich(events.where(before), fx.snapshot_v1(spark, sf), "v1").unionByName(
+        enrich.enrich(events.where(~before), fx.snapshot_v2(spark, sf), "v2")
+    )
+    return facts.journey_fact(enriched, dimensions=(*DIMS, *SEGMENTS))
+
+
+SEGMENTS = ("customer_match_status", "region", "membership_plan", "customer_snapshot_id")
 
 
 @query(
     "mart_funnel_segments",
-    f"WITH {JOURNEYS} SELECT specialty, 'anonymous' AS customer_match_status, "
-    f"CAST(NULL AS VARCHAR) AS region, {_TOTALS} FROM fct WHERE viewed_at IS NOT NULL "
-    "GROUP BY specialty",
+    f"WITH {JOURNEYS}, {sql.SNAPSHOTS}, w AS (SELECT booking_journey_id, event_time < {sql.V2_AT} AS early, "
+    "CASE WHEN n % 4 <> 0 AND user_id % 10 = 9 THEN 'absent' WHEN n % 4 <> 0 THEN 'cus_' || repeat('0', greatest(0, 8 - length(user_id::VARCHAR))) || user_id::VARCHAR "
+    "END AS cus FROM first_view), p AS (SELECT booking_journey_id, CASE WHEN cus IS NULL THEN 'anonymous' "
+    "WHEN coalesce(a.customer_id, b.customer_id) IS NULL THEN 'customer_not_found' ELSE 'matched' END AS customer_match_status, "
+    "coalesce(a.region, b.region) AS region, coalesce(a.membership_plan, b.membership_plan) AS membership_plan, "
+    "CASE WHEN early THEN 'v1' ELSE 'v2' END AS customer_snapshot_id FROM w "
+    "LEFT JOIN v1 a ON early AND a.customer_id = cus LEFT JOIN v2 b ON NOT early AND b.customer_id = cus) "
+    "SELECT specialty, customer_match_status, region, membership_plan, customer_snapshot_id, "
+    f"{_TOTALS} FROM fct JOIN p USING (booking_journey_id) GROUP BY 1, 2, 3, 4, 5",
 )
 def mart_funnel_segments(spark, sf):
-    mart = marts.booking_funnel(
-        _enriched_journeys(spark, sf), ["specialty", "customer_match_status", "region"]
-    )
-    return marts.rollup(
-        mart,
-        ["specialty", "customer_match_status", "region"],
-        ["viewed", "started", "booked"],
-        {},
-    )
+    by = ["specialty", *SEGMENTS]
+    mart = marts.booking_funnel(_segmented_journeys(spark, sf), by)
+    return marts.rollup(mart, by, ["viewed", "started", "booked"], {})
 
 
 @query("metric_view_journeys", f"WITH {JOURNEYS} SELECT count(*) AS view_journeys FROM first_view")
@@ -433,23 +448,52 @@ def anonymous_visitors(spark, sf):
     return marts.anonymous_visitors(fx.unique_events(spark, sf), ["device_type"])
 
 
+# A third of the failed connections counts as a completed visit and a third as a check-in, and some events name another
+# customer, journey or appointment, so that every rule has offenders.
+_VISITS = (
+    "seen AS (SELECT * REPLACE (CASE WHEN event_name <> 'video_connection_failed' THEN event_name "
+    "WHEN n % 3 = 0 THEN 'visit_completed' WHEN n % 3 = 1 THEN 'checkin_started' ELSE event_name END AS event_name, "
+    "CASE WHEN n % 50 = 3 THEN customer_id || 'x' ELSE customer_id END AS customer_id, "
+    "CASE WHEN n % 50 = 4 THEN booking_journey_id || 'x' ELSE booking_journey_id END AS booking_journey_id, "
+    "CASE WHEN n % 50 = 8 THEN appointment_id || 'x' ELSE appointment_id END AS appointment_id) FROM uniq)"
+)
+
+
 def _many(column):
     return (
-        f"SELECT count(*) AS n FROM (SELECT appointment_id FROM uniq WHERE appointment_id IS NOT NULL "
+        f"SELECT count(*) AS n FROM (SELECT appointment_id FROM seen WHERE appointment_id IS NOT NULL "
         f"GROUP BY 1 HAVING count(DISTINCT {column}) > 1)"
     )
 
 
 @query(
     "integrity_violations",
-    f"WITH {sql.UNIQUE} SELECT 'many_customers' AS rule, n FROM ({_many('customer_id')}) "
+    f"WITH {sql.UNIQUE}, {_VISITS} SELECT 'many_customers' AS rule, n FROM ({_many('customer_id')}) "
     f"UNION ALL SELECT 'many_providers', n FROM ({_many('provider_id')}) "
     f"UNION ALL SELECT 'many_specialties', n FROM ({_many('specialty')}) "
     f"UNION ALL SELECT 'many_journeys', n FROM ({_many('booking_journey_id')}) "
-    "UNION ALL SELECT 'many_completions', 0::BIGINT "
+    "UNION ALL SELECT 'many_completions', count(*) FROM (SELECT appointment_id FROM seen "
+    "WHERE event_name = 'visit_completed' AND appointment_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1) "
     "UNION ALL SELECT 'many_appointments_per_journey', count(*) FROM (SELECT booking_journey_id "
-    "FROM uniq WHERE appointment_id IS NOT NULL GROUP BY 1 HAVING count(DISTINCT appointment_id) > 1) "
-    "UNION ALL SELECT 'visit_in_booking_session', 0::BIGINT",
+    "FROM seen WHERE appointment_id IS NOT NULL GROUP BY 1 HAVING count(DISTINCT appointment_id) > 1) "
+    "UNION ALL SELECT 'visit_in_booking_session', count(DISTINCT v.appointment_id) FROM seen v JOIN seen k "
+    "ON v.appointment_id = k.appointment_id AND v.session_id = k.session_id AND k.event_name = 'appointment_booked' "
+    "WHERE v.event_name IN ('visit_completed', 'checkin_started')",
 )
 def integrity_violations(spark, sf):
-    return facts.integrity_violations(fx.unique_events(spark, sf))
+    number = F.floor(F.col("offset") / 2)
+    name = F.col("event_name")
+    visits = F.when(number % 3 == 0, "visit_completed").when(number % 3 == 1, "checkin_started").otherwise(name)
+
+    def other(column, part):
+        return F.when(number % 50 == part, F.concat(column, F.lit("x"))).otherwise(F.col(column))
+
+    events = fx.unique_events(spark, sf).withColumns(
+        {
+            "event_name": F.when(name == "video_connection_failed", visits).otherwise(name),
+            "customer_id": other("customer_id", 3),
+            "booking_journey_id": other("booking_journey_id", 4),
+            "appointment_id": other("appointment_id", 8),
+        }
+    )
+    return facts.integrity_violations(events)

@@ -9,7 +9,7 @@ from trustflow.plans import fixture_sql as sql
 from trustflow.plans import fixtures as fx
 from trustflow.plans.q_snapshot import SPEC
 from trustflow.plans.registry import query
-from trustflow.session import scratch_dir
+from trustflow.session import materialize, scratch_dir
 from trustflow.sources import snapshots
 
 CLOSED = "2024-01-30 00:00:00"
@@ -55,6 +55,31 @@ def latency_percentiles(spark, sf):
     return _rounded(profile, "p50", "p95", "max")
 
 
+_SHIFT = "greatest(length(bin(v)) - 8, 0)"
+_BOUNDS = ", ".join(
+    f"max(CASE WHEN at_{k} THEN ((v >> s) << s) / 1000000.0 END) AS {k}_low, "
+    f"max(CASE WHEN at_{k} THEN (((v >> s) + 1) << s) / 1000000.0 END) AS {k}_high"
+    for k in ("p50", "p95")
+)
+
+
+@query(
+    "latency_rollup",
+    f"WITH {sql.VALID}, q AS (SELECT CAST(ingested_at AS DATE) AS day, epoch_us(processed_at) - epoch_us(event_time) AS v "
+    f"FROM valid WHERE {_CLOSED}), k AS (SELECT day, v, row_number() OVER (PARTITION BY day, v >= 0 ORDER BY v) - 1 AS r, "
+    "count(*) FILTER (v >= 0) OVER (PARTITION BY day) AS m FROM q), "
+    f"b AS (SELECT day, v, CASE WHEN v >= 0 THEN {_SHIFT.replace('bin(v)', 'bin(abs(v))')} END AS s, v >= 0 AND r = floor(0.5 * (m - 1)) AS at_p50, "
+    "v >= 0 AND r = floor(0.95 * (m - 1)) AS at_p95 FROM k) SELECT CAST(day AS VARCHAR) AS day, "
+    f"count(*) FILTER (v >= 0) AS measured, count(*) FILTER (v < 0) AS negative, {_BOUNDS} FROM b GROUP BY day",
+)
+def latency_rollup(spark, sf):
+    """Days of five-minute sketches merged: the stored sketches are read, no latency is sorted again."""
+    windows = health.closed_windows(fx.kept_valid(spark, sf), closed_at())
+    kept = materialize(health.latency_sketch(windows, "processed_at", "event_time", ["window_start"]), "latency-sketch")
+    days = health.latency_rollup(kept.withColumn("day", F.to_date("window_start")), ["day"])
+    return days.withColumn("day", F.col("day").cast("string"))
+
+
 @query(
     "delivery_latency",
     f"WITH {sql.EV} SELECT concat(event_id, ':', attempt) AS id, "
