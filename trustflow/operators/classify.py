@@ -29,8 +29,11 @@ def distinct_schema_ids(deliveries: DataFrame) -> DataFrame:
     return ids.where("schema_id IS NOT NULL").distinct()
 
 
-def resolve_schemas(deliveries: DataFrame, lookup, limit: int = MAX_SCHEMA_IDS) -> DataFrame:
-    """Catalog rows for a batch. ``lookup(id)`` gives schema text or None; outages raise.
+UNRESOLVED = "Schema was not resolved: "
+
+
+def named_schemas(deliveries: DataFrame, limit: int = MAX_SCHEMA_IDS) -> set[int]:
+    """The distinct schema ids of a batch.
 
     ``limit`` is a guard that fails, never a cut: each id is one call to the registry, so a batch
     that names more writers than that is taken for damage. One id beyond it is enough to tell.
@@ -38,8 +41,46 @@ def resolve_schemas(deliveries: DataFrame, lookup, limit: int = MAX_SCHEMA_IDS)
     named = {r.schema_id for r in distinct_schema_ids(deliveries).limit(limit + 1).collect()}
     if len(named) > limit:
         raise ValueError(f"The batch names more than {limit} writer schemas")
-    texts = {i: lookup(i) for i in sorted(named)}
-    return catalog_rows(deliveries.sparkSession, texts)
+    return named
+
+
+def resolve_schemas(deliveries: DataFrame, lookup, limit: int = MAX_SCHEMA_IDS) -> DataFrame:
+    """Catalog rows for a batch. ``lookup(id)`` gives schema text or None; outages raise."""
+    named = named_schemas(deliveries, limit)
+    return catalog_rows(deliveries.sparkSession, {i: lookup(i) for i in sorted(named)})
+
+
+class SchemaCache:
+    """Schema texts kept from batch to batch, so that a batch that names known schemas is read once.
+
+    A text never changes under its id and is kept; an id without one is asked for again in each batch. At most
+    ``limit`` ids are held: beyond that only those of the batch at hand are.
+    """
+
+    def __init__(self, lookup, limit: int = MAX_SCHEMA_IDS):
+        self.lookup, self.limit = lookup, limit
+        self.texts: dict[int, str | None] = {}
+
+    def run(self, deliveries: DataFrame, action) -> None:
+        """``action(catalog)``, which must be repeatable. It fails on a delivery whose id is not in the catalog; the ids
+        of the batch are then read and it runs again. Without known schemas they are read at once."""
+        spark = deliveries.sparkSession
+        self.texts = {i: self.lookup(i) if text is None else text for i, text in self.texts.items()}
+        if self.texts:
+            try:
+                action(catalog_rows(spark, self.texts))
+                return
+            except Exception as failure:
+                if UNRESOLVED not in str(failure):
+                    raise
+        named = named_schemas(deliveries, self.limit)
+        new = {i: self.lookup(i) for i in sorted(named - self.texts.keys())}
+        if len(self.texts) + len(new) > self.limit:
+            kept = {i: text for i, text in self.texts.items() if i in named}
+            self.texts = {**kept, **new}
+        else:
+            self.texts |= new
+        action(catalog_rows(spark, self.texts))
 
 
 def catalog_rows(spark, schemas: dict[int, str | None]) -> DataFrame:
@@ -57,7 +98,7 @@ def catalog_rows(spark, schemas: dict[int, str | None]) -> DataFrame:
 def _frame_code(contract: Contract) -> Column:
     value = F.col("value")
     missing = F.raise_error(
-        F.concat(F.lit("Schema was not resolved: "), F.col("_header_id").cast("string"))
+        F.concat(F.lit(UNRESOLVED), F.col("_header_id").cast("string"))
     )
     return (
         F.when(value.isNull(), F.lit("KAFKA_TOMBSTONE"))

@@ -29,10 +29,18 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def delete_all(spark: SparkSession, folder: str, names: list[str]) -> None:
+    fs, _ = _fs(spark, folder)
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    for name in names:
+        fs.delete(new_path(f"{folder}/{name}"), False)
+
+
 def data_files(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, without those that start with a dot or an underscore."""
     fs, p = _fs(spark, path)
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    paths = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))
+    names = [q.getName() for q in paths]
     return [n for n in names if n[0] not in "._"]
 
 

@@ -41,12 +41,18 @@ def batch_handler(
     fmt: str = "parquet",
     views: str | None = None,
 ):
-    """``views`` is a prefix for the valid and quarantine views, kept current by every batch."""
+    """``views`` is a prefix for the valid and quarantine views, kept current by every batch.
+
+    The source of a batch is read once; twice only where it names a schema for the first time.
+    """
+    schemas = ops.SchemaCache(lookup)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        catalog = ops.resolve_schemas(batch, lookup)
-        write_batch(
-            ops.classify(batch, catalog, contract, processed_at), path, batch_id, app_id, fmt
+        schemas.run(
+            batch,
+            lambda catalog: write_batch(
+                ops.classify(batch, catalog, contract, processed_at), path, batch_id, app_id, fmt
+            ),
         )
         if views is not None:
             ops.register_views(f"{fmt}.`{path}`", batch.sparkSession, contract, views)
