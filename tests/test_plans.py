@@ -112,3 +112,18 @@ def test_hot_journey_gives_the_same_fact(spark):
         *[F.unix_seconds(c) for c in ("viewed_at", "started_at", "booked_at")],
     )
     assert {r[0]: tuple(r[1:]) for r in fact.collect()} == want
+
+
+def test_tasks_grow_with_the_rows_and_their_share_does_not(spark, sf_dir, monkeypatch):
+    """Where derived tables are written, and where stored ones are read or shuffled, the share of a task is bounded."""
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
+    rows = fx.deliveries(spark, sf_dir)
+    assert fx.tasks_for(rows) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(fx, "TASK_ROWS", 100)
+    count = rows.count()
+    assert fx.tasks_for(rows) == -(-count // 100)
+    parts = fx.derive_classified(spark, sf_dir).select(F.spark_partition_id().alias("p"), "ingest_date")
+    per_task = parts.groupBy("p").agg(F.count("*").alias("n"), F.count_distinct("ingest_date").alias("days")).collect()
+    assert sum(r.n for r in per_task) == count and len(per_task) > count // 200
+    assert max(r.n for r in per_task) <= 300 and max(r.days for r in per_task) <= 6

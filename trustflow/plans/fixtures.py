@@ -31,22 +31,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+#: Rows of one task where a derived table is written: what a task sorts and holds does not grow with the input.
+TASK_ROWS = 50_000
+
+
+def tasks_for(df: DataFrame, rows: int | None = None) -> int:
+    """Tasks for the rows of a stored table (their number is in its footers), at least one per core."""
+    rows = df.count() if rows is None else rows
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
+def spread(df: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
     """The rows by hash of their key, at any size: the given files hold one row group each, which no
     setting can split."""
-    return df.repartition(key)
+    return df.repartition(tasks, key) if tasks else df.repartition(key)
 
 
 def add_level(df: DataFrame, level) -> DataFrame:
     return df.select("*", *[F.expr(e).alias(n) for n, e in level])
 
 
-def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ev(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """Contract-shaped events, one row per delivery attempt."""
     attempts = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))
     )
-    df = spread(table(spark, sf_dir, "events"), "event_id").select(
+    df = spread(table(spark, sf_dir, "events"), "event_id", tasks).select(
         F.col("event_id").alias("n"),
         "ts",
         "user_id",
@@ -63,7 +73,7 @@ def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 def derive_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries with the Kafka column shape and framed Avro bytes, as a pure projection."""
     return (
-        ev(spark, sf_dir)
+        ev(spark, sf_dir, tasks_for(table(spark, sf_dir, "events")))
         .withColumn("_body", wire.datum(CONTRACT))
         .select(
             "topic",
@@ -144,7 +154,12 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derive_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classified(spark, sf_dir).withColumn("ingest_date", F.to_date("ingested_at"))
+    """Deliveries go to tasks by ranges of their ingestion time before they are classified. The writer sorts a task's wide
+    classified rows by date, so a task has few of them, and few dates, at any size."""
+    rows = deliveries(spark, sf_dir)
+    rows = rows.repartitionByRange(tasks_for(rows), "ingested_at", "offset")
+    routed = classify.classify(rows, catalog(spark), CONTRACT, processed_at=processed_time())
+    return routed.withColumn("ingest_date", F.to_date("ingested_at"))
 
 
 def kept_classified(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot key is split even when the split costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A task's share is bounded, so what it sorts or hashes does not grow with the input; the number of tasks does.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.files.maxPartitionBytes": "32m",
     "spark.sql.parquet.filterPushdown": "true",
     # HotSpot leaves methods above 8000 bytes uncompiled; many rules in one projection get there.
     # Spark then splits the projection into small methods instead.
