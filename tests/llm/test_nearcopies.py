@@ -115,3 +115,27 @@ def test_work_in_a_large_group_is_linear(spark):
         others = nearcopies.large_pairs(at, df.select(F.col("rid").alias("node"), "text")).count()
         assert first <= 2 * nearcopies.BANDS * n  # two for each member of a bucket
         assert others <= n < all_pairs / 20
+
+
+def test_fingerprints_alone_link_what_lies_within_two_bits(spark, monkeypatch):
+    """Without any min-hash bucket the stage still finds the near copies that SimHash can reach."""
+    rng = random.Random(23)
+    rows, close = [], set()
+    for _ in range(30):
+        words = [f"w{rng.randrange(3000)}" for _ in range(400)]
+        copy = [*words[:-1], "x"]
+        marks = [simhash.fingerprint(" ".join(w).encode(), nearcopies.SHINGLE_WORDS) for w in (words, copy)]
+        if (marks[0] ^ marks[1]).bit_count() <= 2:
+            close.add(len(rows) + 1)
+        rows += [" ".join(words), " ".join(copy)]
+    assert len(close) > 5
+    bucketless = nearcopies.members
+    monkeypatch.setattr(nearcopies, "members", lambda nodes: bucketless(nodes.filter("false")))
+    df = spark.createDataFrame(list(enumerate(rows)), SCHEMA)
+    assert {r.doc_id for r in simhash.keep_one(df).collect()} == set(range(len(rows))) - close
+
+
+def test_candidates_hold_every_linked_fingerprint_together(spark):
+    nodes = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (4, 3), (5, -1), (6, 1 << 40), (7, 0xFF00)], "node long, fp long")
+    pairs = {(r.a, r.b) for r in simhash.candidates(store.keep(nodes, "n")).collect()}
+    assert {(1, 2), (2, 3), (1, 4), (1, 6)} <= pairs and not {5, 7} & {x for p in pairs for x in p}

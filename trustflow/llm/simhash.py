@@ -116,17 +116,31 @@ def groups(marked: DataFrame, id_col: str = "doc_id", distance: int = DISTANCE)
     )
 
 
+def candidates(nodes: DataFrame) -> DataFrame:
+    """nodes: stored (node, fp). Pairs (a, b), a < b, of nodes whose fingerprints link: those of one fingerprint
+    in a row, and the first ones of two fingerprints that ``links`` finds."""
+    row = nodes.select("node", F.lag("node").over(Window.partitionBy("fp").orderBy("node")).alias("other")).filter("other IS NOT NULL")
+    first = store.keep(nodes.groupBy("fp").agg(F.min("node").alias("node")), "fingerprints")
+    near = store.keep(links(first.select("fp")), "fingerprint-links")
+    ends = near.join(first.select(F.col("fp").alias("a"), F.col("node").alias("x")), "a").join(
+        first.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b"
+    )
+    pairs = ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return row.select(F.col("other").alias("a"), F.col("node").alias("b")).union(pairs).distinct()
+
+
 def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without near copies (``nearcopies``: five words, similarity of 0.8; two bits of a fingerprint reach
-    hardly more than exact copies): of each component the row with the least id (null ids last; repeated ids by a
-    hash of the text). Texts move when candidates are compared and when the kept rows are picked out."""
+    """The documents without near copies (similarity of 0.8 over five words): of each component the row with the least id (null
+    ids last; repeated ids by a hash of the text). Fingerprints over five words are indexed and linked as
+    above and their pairs verified on the texts; as two bits reach hardly more than exact copies, ``nearcopies`` finds the pairs
+    beyond them. Texts move when candidates are compared and when the kept rows are picked out."""
     rows = documents.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid"))
     marked = store.keep(rows, "marked")
     text = F.col(f"row.{text_col}")
     slim = store.keep(
-        nearcopies.signed(marked.select("rid", F.col(f"row.{id_col}").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))), "slim"
+        nearcopies.signed(marked.select("rid", F.col(f"row.{id_col}").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text")), fingerprint), "slim"
     )
-    labelled = slim.join(nearcopies.groups(slim, marked.select("rid", text.alias("text"))), "key")
+    labelled = slim.join(nearcopies.groups(slim, marked.select("rid", text.alias("text")), candidates=candidates), "key")
     first = F.row_number().over(Window.partitionBy("label").orderBy(F.col("id").asc_nulls_last(), "tie", "rid"))
     winners = store.keep(labelled.select("rid", first.alias("n")).filter("n = 1").select("rid"), "kept")
     # One plan at every size: without the hint a short list of winners would be broadcast and a long one not.
