@@ -266,3 +266,17 @@ def test_exact_percentiles_over_many_partitions(spark):
     assert got.p50 == pytest.approx(cont(0.5)) and got.p95 == pytest.approx(cont(0.95))
     empty = health.latency_profile(rows.limit(0), "later", "earlier").first()
     assert (empty.measured, empty.p50, empty.max) == (0, None, None)
+
+
+def test_slices_have_a_file_for_every_core_and_stay_in_order(spark, sf_dir, tmp_path):
+    from trustflow.plans import q_stream
+
+    files = q_stream.topic_in_order(spark, sf_dir, str(tmp_path / "topic"))
+    assert files >= spark.sparkContext.defaultParallelism
+    written = sorted((tmp_path / "topic").glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+    assert len(written) == q_stream.BATCHES * files
+    spans = []
+    for i in range(0, len(written), files):
+        sent = spark.read.parquet(*map(str, written[i : i + files])).selectExpr("min(timestamp) AS low", "max(timestamp) AS high")
+        spans.append(tuple(sent.first()))
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))

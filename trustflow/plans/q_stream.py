@@ -41,7 +41,10 @@ def topic_in_order(spark, sf, path):
     rows = fx.raw(spark, sf).withColumn("_sent", F.unix_micros("timestamp"))
     shares = [i / BATCHES for i in range(1, BATCHES)]
     bounds = rows.agg(F.percentile_approx("_sent", shares)).first()[0]
-    files = max(1, spark.sparkContext.defaultParallelism // BATCHES)
+    # A file per task of a micro-batch: every core has one, and a task's rows do not grow with the input. Files are few against
+    # the rows of a slice, so that none stays empty and a batch never takes one of the next slice.
+    share = rows.count() // BATCHES
+    files = max(1, min(fx.tasks_for(rows, share), math.isqrt(share) // 2))
     for low, high in zip([None, *bounds], [*bounds, None], strict=True):
         inside = F.lit(True) if low is None else F.col("_sent") > low
         if high is not None:
