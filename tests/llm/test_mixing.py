@@ -1,9 +1,12 @@
 """The mix: layout, targets, permutations and totals."""
 
+import os
+import re
+
 import numpy as np
 import pytest
 
-from trustflow.llm import mixing as m
+from trustflow.llm import mixing as m, store
 
 SCHEMA = "doc_id long, text string, source string"
 
@@ -151,3 +154,57 @@ def test_shards_of_odd_rows(spark):
     long = spark.createDataFrame([(None, "x " * 300_000, None), (2, "a", "s"), (2, "a", "s")], SCHEMA)
     mixed, report = m.write_mix(long)
     assert sum(p.n for r in mixed.collect() for p in r.parts if p.id is None) > 290_000 and report.count() == 3
+
+
+def test_texts_move_twice_and_are_stored_once(spark, sf_dir, monkeypatch, capsys):
+    """The shards are all that is stored of the texts; on the way there, texts pass two exchanges."""
+    path = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01", "documents.parquet")
+    documents = spark.read.parquet(path).select("doc_id", "text", "source")
+    paths, plans, keep, new_path = [], {}, store.keep, store.new_path
+
+    def explained(df, label, **options):
+        capsys.readouterr()
+        df.explain("formatted")
+        plans[label] = capsys.readouterr().out
+        return keep(df, label, **options)
+
+    monkeypatch.setattr(store, "keep", explained)
+    monkeypatch.setattr(store, "new_path", lambda *x: paths.append(new_path(*x)) or paths[-1])
+    m.write_mix(documents)
+    found = [os.path.join(d, f) for path in paths for d, _, names in os.walk(path) for f in names]
+    assert sum(map(os.path.getsize, found)) < os.path.getsize(path)
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", plans["shards"])
+    assert len([x for x in moved if re.search(r"\b(text|words|chunk|parts)#", x)]) == 2
+
+
+BLANKS = ["a\u00a0b c", "x\u0085y z", "1\x1c2 3", "\u2003 \u3000", "\x00 \x00", "é\x0bü\x0cß\r\nñ\t日本", " lead", "trail \n", " \t", "", None]
+
+
+def test_words_are_the_same_in_both_readings(spark):
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(BLANKS)], SCHEMA)
+    first = {r.row.doc_id: (r["size"], r.text_hash) for r in m.sized(df).collect()}
+    second = {r.id: (r["size"], r.text_hash) for r in m.packed(df).collect()}
+    assert first == second and [first[i][0] for i in range(len(BLANKS))] == [len(re.findall(m.WORD, t or "")) for t in BLANKS]
+    mixed, _ = m.write_mix(df, repeats=1, block_words=4)
+    words = sorted(w for r in mixed.collect() for w in r.words.split(" "))
+    assert words == sorted(w for t in BLANKS for w in re.findall(m.WORD, t or ""))
+
+
+def test_repeated_rows_and_small_chunks(spark, monkeypatch):
+    rows = [(f"d{i % 7}", f"a{i % 7} b c " * (i % 7 * 9), "hot" if i % 3 else None) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    mixed, report = m.write_mix(df, block_words=8, shard_slots=32)
+    found = {(r.shard, r.slot, r.words, tuple(r.parts)) for r in mixed.collect()}
+    sums = {}
+    for _, _, _, parts in found:
+        for p in parts:
+            sums[p.id] = sums.get(p.id, 0) + p.n
+    counted = report.collect()
+    assert len(counted) == 120 and all(r.taken <= 3 * r["size"] for r in counted)
+    assert sums == {i: n for i in {r.id for r in counted} if (n := sum(r.taken for r in counted if r.id == i))}
+    assert sorted((r.id, r.source or "", r.taken) for r in counted) == sorted(
+        (r.id, r.source or "", r.taken) for r in m.mix(df, block_words=8, shard_slots=32).collect()
+    )
+    monkeypatch.setattr(m, "HELD_BYTES", 50)
+    again, _ = m.write_mix(df.repartition(3), block_words=8, shard_slots=32)
+    assert {(r.shard, r.slot, r.words, tuple(r.parts)) for r in again.collect()} == found

@@ -13,8 +13,10 @@
 4. Slots. The n-th slot of a source is the n-th block of a pseudorandom permutation of its
    block numbers (Feistel network with cycle walking), a new permutation for each pass. A block is
    thus never used a further time before all others of its source have been.
-5. Blocks and slots are joined by source and block number. ``write_mix`` cuts the documents' words into blocks and
-   writes the mixed text, slot by slot; ``mix`` only needs to know how many words are taken of each document, so it joins
+5. Blocks and slots are joined by source and block number, before any text moves: each document gets the list of its
+   blocks and their slots. ``write_mix`` then reads the texts, cuts them into the stretches of their blocks and puts these together,
+   slot by slot, as the mixed text. A text is moved twice, compressed: to its place in the source and to its shards; it is
+   stored only in these. ``mix`` only needs to know how many words are taken of each document, so it joins
    the lengths of the same stretches and moves no text. Both give the same counts.
 
 Defined results: null and empty texts have size 0 and nothing is taken of them. Null is a source of its
@@ -24,14 +26,14 @@ however the rows are partitioned. Without any words every target is 0.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from trustflow.llm import store
 
@@ -42,6 +44,11 @@ SHARD_SLOTS = 1 << 16
 BUCKET_ROWS = 1000
 SEED = 6
 WORD = r"[^\x20\x09-\x0D]+"
+HELD_BYTES = 1 << 23
+#: Both sides of the join of texts lie by source and bucket already; by default Spark would deal them anew by all keys of the join. Batches of
+#: texts and chunks are bounded by bytes, as their rows are large.
+WRITE_SETTINGS = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 def _scramble(x: np.ndarray, key: int) -> np.ndarray:
@@ -97,17 +104,24 @@ def targets(sizes: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, block_wor
     return s.select("source", "source_no", "source_size", "n_docs", "target", "n_blocks", quota.alias("quota"))
 
 
-def layout(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """docs: rid, id, text_hash, size, source_no, n_docs. Adds ``start``: the words of the source before the document."""
+def bucketed(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """docs: id, text_hash, size, source_no, n_docs, and rid where rows have one. Adds ``bucket`` and ``ahead``: the words of the
+    bucket before the document. Rows that agree in all of these but rid may stand for each other."""
     place = F.xxhash64("id", "text_hash")
     docs = docs.withColumn("place", place).withColumn("bucket", F.pmod(place, F.ceil(F.col("n_docs") / bucket_rows)))
-    within = Window.partitionBy("source_no", "bucket").orderBy("place", "id", "text_hash", "rid")
-    docs = docs.withColumn("upto", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    order = ["place", "id", "text_hash", "size", *(["rid"] if "rid" in docs.columns else [])]
+    within = Window.partitionBy("source_no", "bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return docs.drop("n_docs").withColumn("ahead", F.sum("size").over(within) - F.col("size"))
+
+
+def layout(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """docs: as for ``bucketed``. Adds also ``start``: the words of the source before the document."""
+    docs = bucketed(docs, bucket_rows)
     buckets = docs.groupBy("source_no", "bucket").agg(F.sum("size").alias("words"))
     along = Window.partitionBy("source_no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = buckets.select("source_no", "bucket", F.coalesce(F.sum("words").over(along), F.lit(0)).alias("base"))
     docs = docs.join(store.keep(base, "buckets"), ["source_no", "bucket"])
-    return docs.withColumn("start", F.col("base") + F.col("upto") - F.col("size"))
+    return docs.withColumn("start", F.col("base") + F.col("ahead"))
 
 
 def _draw(quotas: list[int], shard_slots: int, seed: int):
@@ -188,77 +202,176 @@ def spans(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return out.withColumn("overlap", overlap.cast("long"))
 
 
+def _bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text in UTF-8 start and end."""
+    blank = _BLANK[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True]))))
+    return edges[::2], edges[1::2]
+
+
+def _zstd() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=3)
+
+
+def packed(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """id, source and a hash of the text; size as ``sized`` counts it; bytes and text: the length of the text and the text, compressed."""
+
+    def pack(text: pa.Array) -> pa.Array:
+        codec, rows = _zstd(), (t.as_py() or b"" for t in text)
+        made = [(len(_bounds(t)[0]), len(t), codec.compress(t, asbytes=True)) for t in rows]
+        kind = pa.struct([("size", pa.int64()), ("bytes", pa.int64()), ("text", pa.binary())])
+        return pa.array(made, kind)
+
+    made = F.arrow_udf(pack, "size long, bytes long, text binary")(F.col(text_col).cast("binary"))
+    text_hash = F.xxhash64(text_col).alias("text_hash")
+    docs = documents.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), text_hash, made.alias("made"))
+    return docs.select("id", "source", "text_hash", "made.*")
+
+
+def _by_number(docs: DataFrame, sources: DataFrame) -> DataFrame:
+    """The documents with their source's number, and the documents it has. There is one row per source."""
+    of = sources.select(F.col("source").alias("of"), "source_no", "n_docs")
+    return docs.join(F.broadcast(of), F.col("source").eqNullSafe(F.col("of"))).drop("of", "source")
+
+
 def _numbered(documents: DataFrame, id_col, text_col, source_col, weights, repeats, block_words, with_text: bool):
-    """Stored sources, and the documents with their source's number; text only where it is asked for."""
+    """Stored sources, and the documents with their source's number; texts, as ``packed`` has them, only where they are asked for."""
     docs = sized(documents, text_col, source_col)
-    text = [F.col(f"row.{text_col}").alias("text")] if with_text else []
-    docs = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"row.{id_col}").alias("id"), "size", "source", "text_hash", *text)
+    docs = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"row.{id_col}").alias("id"), "size", "source", "text_hash")
     docs = store.keep(docs, "sized")
     sources = store.keep(targets(docs, weights, repeats, block_words), "sources")
-    numbered = docs.join(sources.select(F.col("source").alias("of"), "source_no", "n_docs"), F.col("source").eqNullSafe(F.col("of")))
-    return sources, numbered.drop("of", "source")
+    return sources, _by_number(packed(documents, id_col, text_col, source_col) if with_text else docs, sources)
 
 
-def _cut(block_words: int, of_id, rows: int = 4096):
-    word, id_type = re.compile(WORD), to_arrow_schema(of_id).field(0).type
+def _cut(block_words: int, schema: pa.Schema):
+    def chunks(shard, *columns):
+        order, codec = np.argsort(shard, kind="stable"), _zstd()
+        pieces = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=schema.names).take(pa.array(order))
+        firsts = np.flatnonzero(np.diff(shard[order], prepend=-1))
+        raw = [pieces.slice(a, z - a).serialize() for a, z in zip(firsts, [*firsts[1:], len(order)], strict=True)]
+        found = pa.array([codec.compress(r, asbytes=True) for r in raw], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(shard[order][firsts]), pa.array([r.size for r in raw]), found], names=["shard", "bytes", "chunk"])
 
-    def stretches(source_no, start, rid, text, doc):
-        words = (m.group() for m in word.finditer(text or ""))
-        while part := list(islice(words, block_words - start % block_words)):
-            yield source_no, start // block_words, start % block_words, rid, len(part), " ".join(part), doc
-            start += len(part)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _zstd()
+        for batch in batches:
+            goes = batch.column("goes")
+            ends = goes.offsets.to_numpy() - goes.offsets[0].as_py()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            block, shard, slot = (goes.flatten().field(k).to_numpy() for k in ("block", "shard", "slot"))
+            source_no, start, size = (batch.column(k).to_numpy()[row] for k in ("source_no", "start", "size"))
+            at = block * block_words - start
+            low, high = np.maximum(at, 0), np.minimum(at + block_words, size)
+
+            def cut(words, first):
+                k = slice(first, first + len(words))
+                ids = batch.column("id").take(pa.array(row[k]))
+                return chunks(shard[k], slot[k], source_no[k], block[k], (low - at)[k], start[k], ids, (high - low)[k], pa.array(words, pa.binary()))
+
+            words, held, done = [], 0, 0
+            for i, (text, length) in enumerate(zip(batch.column("text"), batch.column("bytes").to_pylist(), strict=True)):
+                data = codec.decompress(text.as_buffer(), length, asbytes=True)
+                first, last = _bounds(data)
+                k = slice(ends[i], ends[i + 1])
+                for a, z in zip(first[low[k]].tolist(), last[high[k] - 1].tolist(), strict=True):
+                    words.append(b" ".join(data[a:z].split()))
+                    held += z - a
+                    if held >= HELD_BYTES:
+                        yield cut(words, done)
+                        words, held, done = [], 0, done + len(words)
+            if words:
+                yield cut(words, done)
 
+    return run
+
+
+def _unpack(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64()] * 5 + [pa.string(), id_type]
+        codec = _zstd()
         for batch in batches:
-            docs = zip(*(batch.column(i) for i in range(5)), strict=True)
-            found = (x for d in docs for x in stretches(*(v.as_py() for v in d)))
-            while part := list(islice(found, rows)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*part, strict=True), types, strict=True)],
-                    names=["source_no", "block", "place", "rid", "n", "words", "id"],
-                )
+            for shard, length, chunk in zip(*(batch.column(i) for i in range(3)), strict=True):
+                pieces = pa.ipc.read_record_batch(codec.decompress(chunk.as_buffer(), length.as_py()), schema)
+                yield pa.RecordBatch.from_arrays([pa.repeat(shard, len(pieces)), *pieces.columns], names=["shard", *schema.names])
 
     return run
 
 
+def _join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring pieces of one slot become one row."""
+
+    def whole(pieces, firsts):
+        def lists(values):
+            return pa.ListArray.from_arrays(pa.array([*firsts, len(pieces)], pa.int32()), values)
+
+        heads = [pieces.column(k).take(pa.array(firsts)) for k in ("shard", "slot", "source_no", "block")]
+        words = pc.binary_join(lists(pieces.column("words")), b" ")
+        parts = lists(pa.StructArray.from_arrays([pieces.column(k) for k in ("start", "id", "n")], ["start", "id", "n"]))
+        return pa.RecordBatch.from_arrays([*heads, words, parts], names=["shard", "slot", "source_no", "block", "words", "parts"])
+
+    rest = None
+    for batch in batches:
+        pieces = batch if rest is None else pa.concat_batches([rest, batch])
+        shard, slot = (pieces.column(k).to_numpy() for k in ("shard", "slot"))
+        firsts = np.flatnonzero((np.diff(shard, prepend=-1) != 0) | (np.diff(slot, prepend=-1) != 0))
+        if len(firsts) > 1:
+            yield whole(pieces.slice(0, firsts[-1]), firsts[:-1])
+        rest = pieces.slice(firsts[-1]) if len(firsts) else None
+    if rest is not None:
+        yield whole(rest, np.zeros(1, np.int64))
+
+
+def placed(texts: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """texts: id, source_no, start, size, and bytes and text as ``packed`` has them; goes: block, shard and slot of each place in the mix that has
+    words of the document. One row per slot: shard, slot, source_no, block, words (joined by blanks) and parts, the
+    documents (start, id, n words) that it was cut from in order. A block has at most ``block_words`` parts.
+    The stretches that a task cuts for one shard travel as one compressed chunk."""
+    kind = texts.schema["id"].dataType.simpleString()
+    pieces = f"slot long, source_no long, block long, place long, start long, id {kind}, n long, words binary"
+    schema = to_arrow_schema(StructType.fromDDL(pieces))
+    texts = texts.select(F.col("source_no").cast("long"), "start", "id", "size", "bytes", "text", "goes")
+    chunks = texts.mapInArrow(_cut(block_words, schema), "shard long, bytes long, chunk binary").repartition("shard")
+    rows = chunks.mapInArrow(_unpack(schema), f"shard long, {pieces}").sortWithinPartitions("shard", "slot", "place")
+    whole = f"shard long, slot long, source_no long, block long, words binary, parts array<struct<start:bigint,id:{kind},n:bigint>>"
+    return rows.mapInArrow(_join, whole).withColumn("words", F.col("words").cast("string"))
+
+
 def blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """docs: as ``layout`` returns them, with text. One row per block: source_no, block, words (joined by blanks) and parts, the
-    documents (rid, id, n words) that it was cut from in order. A block has at most ``block_words`` parts."""
-    schema = "source_no long, block long, place long, rid long, n long, words string"
-    kind = docs.schema["id"].dataType
-    rows = docs.select(F.col("source_no").cast("long"), "start", "rid", "text", "id").mapInArrow(
-        _cut(block_words, docs.select("id").schema), f"{schema}, id {kind.simpleString()}"
-    )
-    parts = F.sort_array(F.collect_list(F.struct("place", "rid", "id", "n", "words")))
-    found = rows.groupBy("source_no", "block").agg(parts.alias("parts"))
-    return found.select(
-        "source_no", "block", F.array_join("parts.words", " ").alias("words"),
-        F.transform("parts", lambda p: F.struct(p["rid"].alias("rid"), p["id"].alias("id"), p["n"].alias("n"))).alias("parts"),
-    )
+    """docs: as ``layout`` returns them, with text. The blocks in the order of their sources, each once: source_no, block, words, parts."""
+    first, last = F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words)
+    own = F.transform(F.sequence(first, last), lambda b: F.struct(b.alias("block"), F.col("source_no").cast("long").alias("shard"), b.alias("slot")))
+    return placed(docs.filter("size > 0").withColumn("goes", own), block_words).select("source_no", "block", "words", "parts")
 
 
 def write_mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
               repeats: int = REPEATS, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """The mix as text, stored: shard, slot, source, block, words, parts (rid, id, n), each shard whole in one file and in the order of
-    its slots; and the report of ``mix``, counted over what was stored. Texts move three times: to their place in the
-    source, to their blocks, to their shards."""
+    """The mix as text, stored: shard, slot, source_no, source, block, words, parts (start, id, n; ``start`` is the document's place in its source),
+    each shard whole in one file and in the order of its slots; and the report of ``mix``, counted over what was stored. The
+    documents are read twice: for their sizes, and for the texts once it is known where these go."""
     spark = documents.sparkSession
-    sources, numbered = _numbered(documents, id_col, text_col, source_col, weights, repeats, block_words, with_text=True)
-    places = store.keep(slots(spark, sources, shard_slots, seed), "slots")
-    placed = places.join(blocks(layout(numbered), block_words).hint("merge"), ["source_no", "block"])
-    placed = placed.join(sources.select("source_no", "source"), "source_no")
-    placed = placed.repartition("shard").sortWithinPartitions("shard", "slot")
-    mixed = store.keep(placed.select("shard", "slot", "source", "block", "words", "parts"), "shards")
-    report = numbered.select("rid", "id", "size", "source_no").join(store.keep(taken_of(mixed), "taken"), "rid", "left")
-    report = report.join(sources.select("source_no", "source", "source_size", "target"), "source_no")
+    sources, numbered = _numbered(documents, id_col, text_col, source_col, weights, repeats, block_words, with_text=False)
+    laid = store.keep(layout(numbered).select("id", "size", "source_no", "bucket", "ahead", "start"), "laid")
+    # The few rows that both sides unfold from say nothing about their sizes.
+    places = slots(spark, sources, shard_slots, seed)
+    goes = spans(laid.filter("size > 0"), block_words).hint("merge").join(places, ["source_no", "block"])
+    # Dealt like the texts, which then stay where they are in the join.
+    goes = goes.repartition("source_no", "bucket").groupBy("source_no", "bucket", "ahead", "start")
+    goes = goes.agg(F.collect_list(F.struct("block", "shard", "slot")).alias("goes"))
+    texts = _by_number(packed(documents.filter(F.col(text_col).rlike(WORD)), id_col, text_col, source_col), sources)
+    texts = bucketed(texts).drop("place", "text_hash").hint("merge").join(goes, ["source_no", "bucket", "ahead"])
+    mixed = placed(texts, block_words).join(F.broadcast(sources.select("source_no", "source")), "source_no")
+    mixed = mixed.select("shard", "slot", "source_no", "source", "block", "words", "parts")
+    with store.settings(spark, WRITE_SETTINGS):
+        mixed = store.keep(mixed, "shards", compression="zstd")
+    found = store.keep(taken_of(mixed), "taken").select(F.col("source_no").alias("of"), F.col("start").alias("at"), "taken")
+    same = (F.col("source_no") == F.col("of")) & (F.when(F.col("size") > 0, F.col("start")) == F.col("at"))
+    report = laid.join(found, same, "left").join(sources.select("source_no", "source", "source_size", "target"), "source_no")
     taken = F.coalesce("taken", F.lit(0)).alias("taken")
     return mixed, report.select("id", "source", "size", "source_size", "target", taken)
 
 
 def taken_of(mixed: DataFrame) -> DataFrame:
-    """(rid, taken): the words that stored shards hold of each document."""
-    return mixed.select(F.inline("parts")).groupBy("rid").agg(F.sum("n").alias("taken"))
+    """(source_no, start, taken): the words that stored shards hold of each document that they have words of."""
+    return mixed.select("source_no", F.inline("parts")).groupBy("source_no", "start").agg(F.sum("n").alias("taken"))
 
 
 def mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
@@ -269,7 +382,7 @@ def mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     # Stored, so that its size is known: the few rows that the slots unfold from say nothing about it.
     times = slots(spark, sources, shard_slots, seed).groupBy("source_no", "block").agg(F.count("*").alias("times"))
     times = store.keep(times, "times")
-    parts = spans(layout(numbered.drop("of", "source")), block_words).select("rid", "id", "size", "source_no", "block", "overlap")
+    parts = spans(layout(numbered), block_words).select("rid", "id", "size", "source_no", "block", "overlap")
     part = F.col("overlap") * F.coalesce("times", F.lit(0))
     taken = parts.join(times, ["source_no", "block"], "left").groupBy("rid", "id", "size", "source_no").agg(F.sum(part).alias("taken"))
     return taken.join(sources.select("source_no", "source", "source_size", "target"), "source_no").select(

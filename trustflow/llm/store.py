@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,15 +29,28 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/llm-{label}-{uuid.uuid4().hex}"
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
+def keep(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Writes a result once and reads it back: recovery does not repeat what led to it, and
     Catalyst knows its true size, so it broadcasts it only if that is under its own threshold."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """What is run inside is planned with these settings."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
